@@ -20,7 +20,7 @@ from tracewise.llm.shared import connected_components, materialise
 
 ROWS = 6  #: signature values in a band
 BANDS = 52  #: a pair at 0.8 misses all of them with probability (1 - 0.8**6)**52 = 1.4e-7
-BLOCK = 256  #: documents of a bucket compared at once; larger buckets are compared block by block
+BLOCK = 1024  #: documents of a bucket compared at once; larger buckets are compared block by block
 
 _PERMS = ROWS * BANDS // 2
 _RNG = np.random.default_rng(20240501)

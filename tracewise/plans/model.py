@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tracewise.operators import config, docs, findings, recommend, settings, turns, work
 from tracewise.sources import adapters
+from tracewise.sources.scratch import materialise
 
 AS_OF = datetime(2024, 4, 1, 2)
 WINDOW = (datetime(2024, 1, 1), datetime(2024, 3, 15))
@@ -51,7 +52,8 @@ def advice_scorer(prompt: str) -> str:
 
 
 class Model:
-    """Lazily built DataFrames; the settings row is the only thing that the driver reads."""
+    """Lazily built DataFrames; the settings row is the only thing that the driver reads. What the workflow saves, and what
+    several later steps read, is written once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir = spark, sf_dir
@@ -90,12 +92,12 @@ class Model:
 
     @cached_property
     def config(self) -> DataFrame:
-        return config.current_config(self.history)
+        return materialise(config.current_config(self.history), "config")
 
     @cached_property
     def all_candidates(self) -> DataFrame:
         none = self.spark.createDataFrame([], "review_id string")
-        return findings.review_candidates(self.pairs, self.config, none, self.settings)
+        return materialise(findings.review_candidates(self.pairs, self.config, none, self.settings), "candidates")
 
     @cached_property
     def review_inputs(self) -> DataFrame:
@@ -109,11 +111,12 @@ class Model:
             "review_id", "feedback_time_utc", F.to_json(F.struct(F.col("review_id").alias("id"), F.col("user_question").alias("q"))).alias("prompt")
         )
         replies = work.envelopes(work.score_rows(rows, "review_id", "prompt", review_scorer), "review_id")
-        return rows.select("review_id", (F.col("feedback_time_utc") + F.expr("interval 1 day")).alias("reviewed_at")).join(replies, "review_id")
+        times = rows.select("review_id", (F.col("feedback_time_utc") + F.expr("interval 1 day")).alias("reviewed_at"))
+        return materialise(times.join(replies, "review_id"), "reviews")
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return findings.review_candidates(self.pairs, self.config, self.reviews, self.settings)
+        return work.not_saved(self.all_candidates, self.reviews, "review_id")
 
     @cached_property
     def findings(self) -> DataFrame:
@@ -137,16 +140,17 @@ class Model:
 
     @cached_property
     def observations(self) -> DataFrame:
-        return recommend.observations(self.findings, self.reviews, self.pairs, self.config, self.settings)
+        return materialise(recommend.observations(self.findings, self.reviews, self.pairs, self.config, self.settings), "observations")
 
     @cached_property
     def groups(self) -> DataFrame:
-        return recommend.recommendation_groups(self.observations, self.config, self.areas, self.doc_latest, self.settings, True, SERVICE, AS_OF)
+        groups = recommend.recommendation_groups(self.observations, self.config, self.areas, self.doc_latest, self.settings, True, SERVICE, AS_OF)
+        return materialise(groups, "groups")
 
     @cached_property
     def all_advice(self) -> DataFrame:
         none = self.spark.createDataFrame([], "recommendation_id string")
-        return recommend.recommendation_candidates(self.groups, self.passages, none, self.settings)
+        return materialise(recommend.recommendation_candidates(self.groups, self.passages, none, self.settings), "advice-inputs")
 
     @cached_property
     def advice_inputs(self) -> DataFrame:
@@ -159,7 +163,7 @@ class Model:
             "recommendation_id", F.to_json(F.struct(F.col("recommendation_id").alias("id"), F.col("investigate_only").alias("gap"), first.url.alias("url"), F.left(first.chunk, F.lit(10)).alias("quote"))).alias("prompt")
         )
         replies = work.envelopes(work.score_rows(rows, "recommendation_id", "prompt", advice_scorer), "recommendation_id")
-        return replies.withColumn("generated_at", settings.now(AS_OF))
+        return materialise(replies.withColumn("generated_at", settings.now(AS_OF)), "advice")
 
     @cached_property
     def advice_candidates(self) -> DataFrame:

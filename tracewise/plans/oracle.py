@@ -226,5 +226,5 @@ ORACLE_SQL: dict[str, str] = {
     "duplicate_ids": q(f"SELECT 'events' AS object_name, event_hash AS identity, 2::BIGINT AS saved_rows FROM {_conversation_events('conv_id % 50 = 0')}"),
     "digest": q("SELECT *, CASE WHEN invalid_settings > 0 THEN 'invalid_settings' WHEN current_groups = 0 THEN 'empty_current_queue' ELSE 'inspect_before_sending' END AS preview_status, 'groups: ' || current_groups || chr(10) || " + " || chr(10) || ".join(f"'{s}: ' || {s}" for s in STATES) + " || chr(10) || coalesce(lines, 'No suggestions.') AS body FROM (SELECT count(group_id) AS current_groups, " + ", ".join(f"count(*) FILTER (WHERE queue_status = '{s}') AS {s}" for s in STATES) + " FROM queue), (SELECT count(*) AS displayed, string_agg(recommendation_id || ': ' || trim(translate(headline, '<>', '  ')), chr(10) ORDER BY recommendation_id) AS lines FROM (SELECT * FROM queue WHERE queue_status = 'needs_human_review' ORDER BY recommendation_id LIMIT 20))").replace("SELECT *, CASE WHEN invalid_settings", "SELECT * EXCLUDE (lines), CASE WHEN invalid_settings"),
     "stream_capture": q("SELECT span_name, status_code, count(*) AS events, count(DISTINCT event_hash) AS identities FROM web_events GROUP BY span_name, status_code"),
-    "stream_activity": "SELECT epoch_us(date_trunc('day', ts)) AS day_us, count(*) AS spans FROM events GROUP BY 1 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 15 MINUTE FROM events)",
+    "stream_activity": "SELECT * FROM (SELECT epoch_us(date_trunc('day', ts)) AS day_us, count(*) AS spans FROM events GROUP BY 1) WHERE day_us + 86400000000 <= (SELECT epoch_us(max(ts)) - 900000000 FROM events)",
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,7 @@ from tracewise.functions.hashing import AGENT
 from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work
 from tracewise.plans.model import AS_OF, SERVICE, Model
 from tracewise.sources import adapters, spans
+from tracewise.sources.scratch import new_path
 from tracewise.streaming import capture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -336,17 +336,11 @@ def digest(m: Model) -> DataFrame:
 
 
 def _stream_input(m: Model) -> str:
-    path = tempfile.mkdtemp(prefix="spark-") if m.spark.conf.get("spark.checkpoint.dir", None) is None else f"{m.spark.conf.get('spark.checkpoint.dir')}/{_name()}"
-    adapters.event_spans(m.table("events")).write.mode("overwrite").parquet(f"{path}/in")
+    path = new_path(m.spark, "stream")
+    adapters.event_spans(m.table("events")).write.parquet(f"{path}/in")
     return path
 
 
-def _name() -> str:
-    import uuid
-
-    return f"stream-{uuid.uuid4().hex}"
-
-
 @query
 def stream_capture(m: Model) -> DataFrame:
     """Capture as a stream, the same files twice: the second run adds nothing."""

@@ -68,10 +68,14 @@ def field_paths(record: Column, arrays: tuple[str, ...]) -> Column:
         inner = F.try_variant_get(F.try_parse_json(record), f"$.{a}", "variant")
         items = F.when(F.schema_of_variant(inner).startswith("ARRAY"), F.from_json(F.to_json(inner), "array<string>"))
         keys = F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), none)))
-        found.append(F.coalesce(F.transform(keys, lambda k, a=a: F.concat(F.lit(f"{a}[]."), k)), none))
+        found.append(F.coalesce(_prefixed(f"{a}[].", keys), none))
     return F.array_sort(F.array_distinct(F.concat(*found)))
 
 
+def _prefixed(prefix: str, names: Column) -> Column:
+    return F.transform(names, lambda n: F.concat(F.lit(prefix), n))
+
+
 def fingerprint(paths: Column) -> Column:
     return F.xxhash64(F.array_join(paths, "\n"))
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewise.llm import ann, chat, hnsw, html, language, minhash, mixing, pieces, quality, urls
+from tracewise.llm import ann, chat, hnsw, html, language, minhash, mixing, oracle, pieces, quality, urls
 
 #: Weights of the mix; names that are not listed weigh 1.
 DOMAIN_WEIGHTS = {"web": 5, "news": 3, "books": 2}
@@ -116,4 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_url_filters, op2_ann, op3_html, op4_minhash, op5_chat, op6_mixing, op7_language, op8_sentencepiece, op9_embedding_dedup, op10_quality)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_minhash": oracle.near_documents(4, 80),
+    "op5_chat": oracle.chat_digests(),
+    "op6_mixing": oracle.mix(SHARE, EPOCHS, SEED, DOMAIN_WEIGHTS, LANG_WEIGHTS),
+    "op9_embedding_dedup": oracle.near_vectors(0.98),
+}

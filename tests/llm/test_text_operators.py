@@ -200,6 +200,8 @@ PAGE = """<html><head><title>T</title><script>x('</p>')</script></head><body><he
 def test_main_text():
     assert html.main_text(PAGE) == "Head & line\nFirst paragraph with <tags> é.\nNo.\nSecond\nLast one."
     assert html.main_text(None) == html.main_text("") == html.main_text("<!-- open") == html.main_text("<script>x") == ""
+    wrapped = '<body class="no-sidebar"><div class="page with-sidebar menu"><article><div class="entry-header"><h1>H</h1></div><p>Text.</p><p hidden>No</p><p style="display: none">No</p></article></div></body>'
+    assert html.main_text(wrapped) == "H\nText."
     body = "<div>" + "A sentence of some length that says a thing or two. " * 3 + "</div>"
     plain = f"<ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul>{body}<div>Short.</div>{body}<div><a href=z>Next page of this</a></div>"
     got = html.main_text(plain).split("\n")

@@ -36,6 +36,9 @@ NAMES = frozenset(
     " masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted promotion related replies"
     " respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget contentinfo complementary search".split()
 )
+#: Words of names that only say what else the page has.
+_ABOUT = frozenset("has no with without is".split())
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none""", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -47,8 +50,16 @@ class Line:
     article: bool
 
 
-def _named(attributes: str) -> bool:
-    return any(set(re.split(r"[^a-z0-9]+", m.lower())) & NAMES for m in _NAMES.findall(attributes))
+def _named(attributes: str, article: bool) -> bool:
+    """Whether an element's names or its being hidden put it outside the article; within one, headers are part of it."""
+    if _HIDDEN.search(attributes):
+        return True
+    for value in _NAMES.findall(attributes):
+        for token in value.strip("\"'").lower().split():
+            found = set(re.split(r"[^a-z0-9]+", token))
+            if found & NAMES and not found & _ABOUT and not (article and found & NAMES == {"header"}):
+                return True
+    return False
 
 
 def lines(page: str) -> list[Line]:
@@ -57,7 +68,7 @@ def lines(page: str) -> list[Line]:
     parts: list[str] = []
     linked = 0
     drop = 0  # depth of the open boilerplate element's own kind
-    dropped = ""
+    dropped, loose = "", False
     article, link, at, n = 0, 0, 0, len(page)
 
     def close() -> None:
@@ -99,14 +110,18 @@ def lines(page: str) -> list[Line]:
             link = 0 if closing else 1
         if name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
+            if not closing and loose and not _named(attributes, False):
+                drop = 0  # what a name alone had put aside holds the article
         if name in VOID:
             continue
         if drop:
             if name == dropped:
                 drop += -1 if closing else 1
-        elif not closing and (name in BOILERPLATE or name == "header" and not article or name not in ("html", "body", "article", "main") and "=" in attributes and _named(attributes)):
-            close()
-            drop, dropped = 1, name
+        elif not closing and name not in ("html", "body", "article", "main"):
+            loose = name not in BOILERPLATE and (name != "header" or article > 0)
+            if not loose or attributes and _named(attributes, article > 0):
+                close()
+                drop, dropped = 1, name
     close()
     return out
 

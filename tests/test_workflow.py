@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tracewise.functions import variants
 from tracewise.functions.hashing import AGENT, NO_ITEMS
-from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work
+from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work, workflow
+from tracewise.sources import spans
 from tracewise.sources.spans import new_events, with_event_hash
 
 BASE = datetime(2024, 1, 1)
@@ -314,3 +315,30 @@ def test_queue_has_a_sentinel_and_the_digest_shows_it(spark):
 def test_duplicates(spark):
     t = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert [tuple(r) for r in reports.duplicate_report({"x": (t, "k"), "y": (t.distinct(), "k")}).collect()] == [("x", "a", 2)]
+
+
+def test_runs_freeze_send_once_and_append(spark, pairs, one_config):
+    s = settings.read_settings(settings_rows(spark, {}), AS_OF)
+    none = spark.createDataFrame([], "review_id string, reviewed_at timestamp_ntz, model_response string")
+    queue = lambda reviews: findings.review_candidates(pairs, one_config, reviews, s)
+    columns = [c for c in queue(none).columns if c not in ("evidence", "feedback_time")]
+    first = queue(none).select(columns)
+    inputs = first.limit(0).withColumn("prepared_at", F.lit(AS_OF).cast("timestamp_ntz"))
+
+    def scorer(prompt):
+        if "Question 2." in prompt:
+            raise ValueError("no")
+        return reply_value
+
+    reply_value = '{"assessment": "good"}'
+    inputs, reviews = workflow.run_reviews(first, inputs, none, 20, AS_OF, scorer)
+    assert (inputs.count(), reviews.count()) == (20, 20)
+    assert reviews.where(F.col("model_response").contains('"error":"no"')).count() > 0
+    inputs, reviews = workflow.run_reviews(queue(reviews).select(columns), inputs, reviews, 20, AS_OF, scorer)
+    assert (inputs.count(), reviews.count(), queue(reviews).count()) == (28, 28, 0)
+    assert workflow.run_reviews(first, inputs, reviews, 20, AS_OF, scorer)[1].count() == 28
+
+
+def test_snapshots_get_ids_of_their_own(spark):
+    specs = history(spark, ("A", "{}"), ("A", "{}")).drop("snapshot_id")
+    assert spans.snapshot(specs).select("snapshot_id").distinct().count() == 2

@@ -169,7 +169,19 @@ CHECKS = {
 }
 STATES = ("invalid_settings", "needs_human_review", "suppressed", "ai_error", "invalid_output", "deferred", "awaiting_inference", "insufficient_evidence", "missing_docs", "bad_docs", "stale_docs")
 CAPTURE = "ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-03-15'"
-TERMS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+AREA_QUERIES = f"SELECT a AS query_id, regexp_replace(a, '[._]', ' ', 'g') || ' the of and' AS query FROM unnest({listed(AREAS)}) t(a)"
+
+
+def terms(c: str) -> str:
+    return rf"regexp_extract_all(lower({c}), '[\p{{L}}\p{{N}}]+')"
+
+
+def bm25(queries: str, k: int = 5) -> str:
+    return f"""WITH asked AS (SELECT DISTINCT query_id, unnest({terms('query')}) AS term FROM ({queries})), docs AS (SELECT doc_id, {terms('text')} AS terms FROM documents), lens AS (SELECT doc_id, len(terms)::DOUBLE AS length FROM docs),
+      stats AS (SELECT count(*)::DOUBLE AS n, avg(length) AS mean FROM lens), tf AS (SELECT doc_id, term, count(*)::DOUBLE AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM docs) GROUP BY doc_id, term), df AS (SELECT term, count(*)::DOUBLE AS df FROM tf GROUP BY term),
+      scored AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * length / mean))), 6) AS score FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN lens USING (doc_id), stats GROUP BY query_id, doc_id),
+      ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored QUALIFY rank <= {k})"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "conversation_turns": q(f"SELECT {AGENT}, thread_id, trace_id, message_id, event_epoch_ns, root_event_hash, user_question, agent_answer, status_code, is_complete, turn_no, len(tool_evidence) AS tool_spans, len(event_hashes) AS event_count, turn_hash FROM turns"),
@@ -204,10 +216,7 @@ ORACLE_SQL: dict[str, str] = {
     "doc_latest": q("SELECT area_key, query_text, retrieval_id, epoch_us(captured_at) AS captured_us, documentation_status, content_hash FROM latest"),
     "doc_readiness": q(f"SELECT a.area_key, a.documentation_query, retrieval_id, accepted_count, rejected_count, content_hash, CASE WHEN retrieval_id IS NULL THEN 'missing_exact_search' WHEN documentation_status <> 'ready' THEN documentation_status WHEN captured_at > {AS_OF} THEN 'future_capture' WHEN captured_at < {AS_OF} - INTERVAL 168 HOUR THEN 'stale' ELSE 'ready_for_suggestion_input' END AS input_status FROM areas a LEFT JOIN latest d ON d.area_key = a.area_key AND d.query_text = a.documentation_query"),
     "doc_alignment": q("SELECT coalesce(a.area_key, d.area_key) AS area_key, documentation_query, query_text AS saved_query_text, retrieval_id, CASE WHEN a.area_key IS NULL THEN 'area_not_configured' WHEN retrieval_id IS NULL THEN 'not_retrieved' WHEN documentation_query <> query_text THEN 'query_mismatch' ELSE 'query_matches' END AS query_alignment FROM areas a FULL JOIN latest d ON d.area_key = a.area_key"),
-    "search_topk": f"""WITH asked AS (SELECT DISTINCT item_id AS query_id, unnest({TERMS}) AS term FROM benchmark), docs AS (SELECT doc_id, {TERMS} AS terms FROM documents), lens AS (SELECT doc_id, len(terms)::DOUBLE AS length FROM docs),
-      stats AS (SELECT count(*)::DOUBLE AS n, avg(length) AS mean FROM lens), tf AS (SELECT doc_id, term, count(*)::DOUBLE AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM docs) GROUP BY doc_id, term), df AS (SELECT term, count(*)::DOUBLE AS df FROM tf GROUP BY term),
-      scored AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * length / mean))), 6) AS score FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN lens USING (doc_id), stats GROUP BY query_id, doc_id)
-      SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored QUALIFY rank <= 5""",
+    "search_topk": f"{bm25('SELECT item_id AS query_id, text AS query FROM benchmark')} SELECT query_id, rank, doc_id, score FROM ranked",
     "observations": q("SELECT review_id, pair_hash, config_hash, assessment, issue_type, severity, surface, thread_id, review_output_hash FROM seen"),
     "observation_counts": q("SELECT assessment, issue_type, surface, count(*) AS saved_observations FROM seen GROUP BY ALL"),
     "evidence_groups": q(f"SELECT {AGENT}, surface, total_occurrences, total_feedback_pairs, epoch_us(first_feedback) AS first_us, evidence_members_hash, array_to_string(list_transform(selected, lambda x: x.review_id), ',') AS sample FROM groups_a"),
@@ -225,6 +234,15 @@ ORACLE_SQL: dict[str, str] = {
     "missing_results": q("SELECT 'answer_review' AS input_kind, (SELECT count(*) FROM review_inputs) - (SELECT count(*) FROM replies) AS missing_results UNION ALL SELECT 'recommendation', (SELECT count(*) FROM advice_inputs) - (SELECT count(*) FROM advice)"),
     "duplicate_ids": q(f"SELECT 'events' AS object_name, event_hash AS identity, 2::BIGINT AS saved_rows FROM {_conversation_events('conv_id % 50 = 0')}"),
     "digest": q("SELECT *, CASE WHEN invalid_settings > 0 THEN 'invalid_settings' WHEN current_groups = 0 THEN 'empty_current_queue' ELSE 'inspect_before_sending' END AS preview_status, 'groups: ' || current_groups || chr(10) || " + " || chr(10) || ".join(f"'{s}: ' || {s}" for s in STATES) + " || chr(10) || coalesce(lines, 'No suggestions.') AS body FROM (SELECT count(group_id) AS current_groups, " + ", ".join(f"count(*) FILTER (WHERE queue_status = '{s}') AS {s}" for s in STATES) + " FROM queue), (SELECT count(*) AS displayed, string_agg(recommendation_id || ': ' || trim(translate(headline, '<>', '  ')), chr(10) ORDER BY recommendation_id) AS lines FROM (SELECT * FROM queue WHERE queue_status = 'needs_human_review' ORDER BY recommendation_id LIMIT 20))").replace("SELECT *, CASE WHEN invalid_settings", "SELECT * EXCLUDE (lines), CASE WHEN invalid_settings"),
+    "event_sample": q("SELECT event_epoch_ns, trace_id, span_name, event_hash FROM events_m ORDER BY event_epoch_ns DESC, trace_id, event_hash LIMIT 20"),
+    "turn_reader": q(f"SELECT {AGENT}, thread_id, turn_no, trace_id, is_complete, len(tool_evidence) AS tool_spans FROM turns ORDER BY {AGENT}, thread_id NULLS LAST, turn_no LIMIT 40"),
+    "pair_reader": q("SELECT thread_id, epoch_us(feedback_time) AS feedback_us, user_question, followup_message, pair_hash FROM pairs ORDER BY feedback_time DESC, response_trace_id, feedback_trace_id LIMIT 20"),
+    "review_failures": q("SELECT review_id, validation_status, validation_note, epoch_us(reviewed_at) AS reviewed_us FROM findings WHERE validation_status <> 'valid' ORDER BY reviewed_at DESC, review_id LIMIT 20"),
+    "latest_snapshot": q(f"SELECT snapshot_id, {AGENT}, epoch_us(captured_at) AS captured_us FROM history ORDER BY captured_at DESC, snapshot_id LIMIT 1"),
+    "inference_batch": q("SELECT review_id, epoch_us(TIMESTAMP '2024-03-30') AS prepared_us FROM review_inputs WHERE review_id NOT IN (SELECT review_id FROM replies)"),
+    "budget_counts": q("SELECT count(*) AS eligible_groups, count(*) FILTER (WHERE saved) AS reused_results, count(*) FILTER (WHERE NOT saved AND unsaved_rank <= 5) AS new_calls_in_budget, count(*) FILTER (WHERE NOT saved AND unsaved_rank > 5) AS deferred_now FROM advice_candidates"),
+    "queue_counts": q("SELECT queue_status, count(*) AS groups, sum(total_occurrences)::BIGINT AS observations FROM queue GROUP BY queue_status"),
+    "search_statuses": f"{bm25(AREA_QUERIES)} SELECT query_id AS area_key, rank - 1 AS passage_index, 'https://d/' || doc_id AS url, 'ready' AS documentation_status FROM ranked",
     "stream_capture": q("SELECT span_name, status_code, count(*) AS events, count(DISTINCT event_hash) AS identities FROM web_events GROUP BY span_name, status_code"),
     "stream_activity": "SELECT * FROM (SELECT epoch_us(date_trunc('day', ts)) AS day_us, count(*) AS spans FROM events GROUP BY 1) WHERE day_us + 86400000000 <= (SELECT epoch_us(max(ts)) - 900000000 FROM events)",
 }

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewise.functions.hashing import AGENT
-from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work
+from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work, workflow
 from tracewise.plans.model import AS_OF, SERVICE, Model
 from tracewise.sources import adapters, spans
-from tracewise.sources.scratch import new_path
+from tracewise.sources.scratch import materialise, new_path
 from tracewise.streaming import capture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -341,6 +341,67 @@ def _stream_input(m: Model) -> str:
     return path
 
 
+@query
+def event_sample(m: Model) -> DataFrame:
+    """The twenty newest events."""
+    return m.events.orderBy(F.desc("event_epoch_ns"), "trace_id", "event_hash").limit(20).select("event_epoch_ns", "trace_id", "span_name", "event_hash")
+
+
+@query
+def turn_reader(m: Model) -> DataFrame:
+    return m.turns.orderBy(*NAMES, F.asc_nulls_last("thread_id"), "turn_no").limit(40).select(*NAMES, "thread_id", "turn_no", "trace_id", "is_complete", F.size("tool_evidence").cast("long").alias("tool_spans"))
+
+
+@query
+def pair_reader(m: Model) -> DataFrame:
+    rows = m.pairs.orderBy(F.desc("feedback_time_utc"), "response_trace_id", "feedback_trace_id").limit(20)
+    return rows.select("thread_id", us("feedback_time_utc", "feedback_us"), "user_question", "followup_message", "pair_hash")
+
+
+@query
+def review_failures(m: Model) -> DataFrame:
+    """The twenty newest findings that are not valid."""
+    rows = m.findings.where("validation_status <> 'valid'").orderBy(F.desc("reviewed_at"), "review_id").limit(20)
+    return rows.select("review_id", "validation_status", "validation_note", us("reviewed_at", "reviewed_us"))
+
+
+@query
+def latest_snapshot(m: Model) -> DataFrame:
+    """The newest snapshot of all."""
+    return m.history.orderBy(F.desc("captured_at"), "snapshot_id").limit(1).select("snapshot_id", *NAMES, us("captured_at", "captured_us"))
+
+
+@query
+def inference_batch(m: Model) -> DataFrame:
+    """Inputs prepared twice: one of each id without a reply is sent, the earlier one."""
+    early, late = (m.review_inputs.withColumn("prepared_at", F.lit(t).cast("timestamp_ntz")) for t in ("2024-03-30", "2024-03-31"))
+    rows = workflow.inference_batch(m.all_candidates, early.unionByName(late), m.reviews, "review_id", [*NAMES])
+    return rows.select("review_id", us("prepared_at", "prepared_us"))
+
+
+@query
+def budget_counts(m: Model) -> DataFrame:
+    return workflow.counts(m.advice_candidates)
+
+
+@query
+def queue_counts(m: Model) -> DataFrame:
+    return m.queue.groupBy("queue_status").agg(F.count("*").alias("groups"), F.sum("total_occurrences").alias("observations"))
+
+
+@query
+def search_statuses(m: Model) -> DataFrame:
+    """Each area's query searched in the documents, its response saved, parsed and gated: the accepted passages of each area."""
+    queries = m.areas.select("area_key", F.col("area_key").alias("query_id"), F.regexp_replace("area_key", "[._]", " ").alias("query_text"))
+    queries = queries.withColumn("query_text", F.concat("query_text", F.lit(" the of and")))
+    corpus = m.table("documents").select("doc_id", "text", F.concat(F.lit("https://d/"), F.col("doc_id").cast("string")).alias("url"), F.lit("t").alias("title"), F.col("text").alias("chunk"))
+    found = docs.search_passages(queries, corpus)
+    saved = materialise(docs.responses(found, queries, corpus, AS_OF, SERVICE), "responses")
+    passages = docs.doc_passages(saved, "https://d/")
+    status = docs.doc_status(saved, passages).select("retrieval_id", "documentation_status")
+    return passages.join(status, "retrieval_id").select("area_key", F.col("passage_index").cast("long").alias("passage_index"), "url", "documentation_status")
+
+
 @query
 def stream_capture(m: Model) -> DataFrame:
     """Capture as a stream, the same files twice: the second run adds nothing."""

@@ -9,22 +9,23 @@ from tracewise.llm import language, minhash, mixing, pieces, quality
 from tracewise.llm.queries import DOMAIN_WEIGHTS, LANG_WEIGHTS, SEED, domain, fold, model_path, n_words, read, weights
 from tracewise.llm.shared import materialise
 
-LEAST_SCORE = 0.5  #: mean marginal of the language from which a document stays
+LEAST_SCORE = 0.3  #: mean marginal of the language from which a document stays; low, as few words say little
 SHARE = 0.8  #: of the tokens that reach the mix
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter and a language of LEAST_SCORE stay; lang becomes the predicted one."""
+    """Documents with a letter and a language of LEAST_SCORE stay; lang becomes the predicted one. Rows stay where they
+    are, repeated ones and those without an id too."""
     model = language.train(docs.where(fold("doc_id", 4) != 2))
-    found = language.predict_texts(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return docs.join(found.select("doc_id", "lang_pred").dropDuplicates(["doc_id"]), "doc_id").withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    found = docs.select(F.struct(*docs.columns).alias("row"), language.labeller(model).alias("found"))
+    found = found.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= LEAST_SCORE))
+    return found.select(*(F.col("found.lang_pred").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be of quality 1 stay."""
     model = quality.train(docs.where(fold("doc_id", 5) != 0), read(spark, sf_dir, "labels"))
-    good = quality.score_texts(docs, model).where("predicted = 1").select("doc_id")
-    return docs.join(good, "doc_id", "left_semi")
+    return docs.where(quality.scorer(model) >= quality.SCORE_AT_THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,8 +12,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewise.llm.quality import sample_labelled
@@ -233,24 +234,26 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Crf:
     return fit([r["text"] for r in found], [r["lang"] for r in found])
 
 
-def _labelled(model: Crf, size: int = 3_000_000):
+def _in_parts(model: Crf, texts: list[str | None], size: int = 3_000_000) -> tuple[list[str], np.ndarray]:
+    """Predictions, `size` characters at a time and one text at least, so that memory stays bounded."""
+    langs, scores, at = [], [np.empty(0)], 0
+    while at < len(texts):
+        end, n = at, 0
+        while end < len(texts) and (end == at or n + len(texts[end] or "") <= size):
+            n += len(texts[end] or "")
+            end += 1
+        got, p = model.predict(texts[at:end])
+        langs += got
+        scores.append(p)
+        at = end
+    return langs, np.concatenate(scores)
+
+
+def _labelled(model: Crf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            langs, scores, at = [], [], 0
-            while at < len(texts):  # texts of `size` characters at a time, one text at least
-                end, n = at, 0
-                while end < len(texts) and (end == at or n + len(texts[end] or "") <= size):
-                    n += len(texts[end] or "")
-                    end += 1
-                got, p = model.predict(texts[at:end])
-                langs += got
-                scores.append(p)
-                at = end
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else np.empty(0), pa.float64())],
-                ["doc_id", "lang_pred", "score"],
-            )
+            langs, scores = _in_parts(model, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return run
 
@@ -261,3 +264,15 @@ def predict_texts(docs: DataFrame, model: Crf) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _labelled(model), "doc_id long, lang_pred string, score double"
     )
+
+
+def labeller(model: Crf, text: str = "text") -> Column:
+    """struct<lang_pred,score> as a column, for filters that keep whole rows where they are."""
+
+    @F.pandas_udf("lang_pred string, score double")
+    def label(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for t in texts:
+            langs, scores = _in_parts(model, t.tolist())
+            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+
+    return label(F.col(text))

@@ -12,7 +12,7 @@ import corpus_pipeline
 from tests.compare import connect, same
 from tracewise.llm import ann, chat, hnsw, mixing, pieces, urls
 from tracewise.llm.queries import ORACLE_SQL, QUERIES, domain, model_path, n_words
-from tracewise.llm.shared import materialise
+from tracewise.llm.shared import materialise, may_hold, without
 
 SF = "/root/testdata/sf0.01"
 EMB = "vec_id long, embedding array<float>, label int"
@@ -227,3 +227,14 @@ def test_pipeline_mix_meets_its_budget(spark):
     chosen = corpus_pipeline.mix_sources(spark, docs, SF).select(n_words().alias("n"), domain().alias("d"))
     share = chosen.agg(F.sum("n")).first()[0] / docs.agg(F.sum(n_words())).first()[0]
     assert 0.79 < share < 0.9 and pieces.ChunkTable(model_path())
+
+
+def test_filter_never_loses_a_row(spark):
+    rows = spark.range(-5, 3000).selectExpr("id as doc_id", "id % 7 as at").unionByName(spark.sql("select cast(null as long) doc_id, 1L at"))
+    ids = spark.range(0, 3000, 3).selectExpr("id as doc_id")
+    maybe, clear = may_hold(rows, ids, "doc_id")
+    assert maybe.columns == rows.columns and maybe.count() + clear.count() == rows.count()
+    assert ids.join(maybe, "doc_id", "left_anti").count() == 0 and maybe.count() < 1100
+    left = without(rows, ids, "doc_id")
+    assert left.count() == 3006 - 1000 and left.where("doc_id is null").count() == 1
+    assert without(rows, ids.limit(0), "doc_id").count() == rows.count()

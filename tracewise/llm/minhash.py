@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.shared import connected_components, materialise
+from tracewise.llm.shared import connected_components, materialise, may_hold
 
 ROWS = 6  #: signature values in a band
 BANDS = 52  #: a pair at 0.8 misses all of them with probability (1 - 0.8**6)**52 = 1.4e-7
@@ -180,8 +180,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
         .select("doc_id", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
     members = materialise(members, "members")
+    needed, _ = may_hold(texts, members, "doc_id")
     near = (
-        texts.join(members, "doc_id")
+        needed.join(members, "doc_id")
         .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
         .mapInPandas(_confirmed(shingle_words, percent), "a long, b long")
     )

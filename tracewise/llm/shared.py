@@ -40,3 +40,32 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 .select("node", F.coalesce("component2", "component").alias("component")), "labels",
             )
     return labels if labels is not None else e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+FILTER_BITS = 1 << 26  #: of a membership filter: 8 MB, however many ids it holds
+_BUCKET = 1 << 15
+
+
+def may_hold(rows: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among ids, rows whose key certainly is not), by a bitmap of fixed size.
+
+    The bitmap is what is broadcast, so wide rows are shuffled only if they may be needed. Beyond tens of millions of
+    ids it fills up and lets more rows through, which costs time but no rows. Null keys are certainly not among ids.
+    """
+    at = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(FILTER_BITS))
+    bits = (
+        ids.where(F.col(key).isNotNull()).select(at.alias("at")).groupBy(F.expr(f"`at` div {_BUCKET}").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.col("at") % _BUCKET).alias("_bits"))
+    )
+    bits = materialise(bits, "filter")
+    flagged = rows.withColumn("_at", at).withColumn("_bucket", F.expr(f"_at div {_BUCKET}")).join(F.broadcast(bits), "_bucket", "left")
+    byte = F.conv(F.hex(F.substr("_bits", F.expr(f"cast(_at % {_BUCKET} div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    hit = F.col(key).isNotNull() & (F.coalesce(F.getbit(byte, F.expr("cast(_at % 8 as int)")), F.lit(0)) == 1)
+    return flagged.where(hit).select(rows.columns), flagged.where(~hit).select(rows.columns)
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among ids; those with a null key stay."""
+    ids = materialise(ids.select(key).distinct(), "ids")
+    maybe, clear = may_hold(rows, ids, key)
+    return clear.unionByName(maybe.join(ids, key, "left_anti"))

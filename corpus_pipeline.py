@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewise.llm import language, minhash, mixing, pieces, quality
 from tracewise.llm.queries import DOMAIN_WEIGHTS, LANG_WEIGHTS, SEED, domain, fold, model_path, n_words, read, weights
-from tracewise.llm.shared import materialise
+from tracewise.llm.shared import materialise, without
 
 LEAST_SCORE = 0.3  #: mean marginal of the language from which a document stays; low, as few words say little
 SHARE = 0.8  #: of the tokens that reach the mix
@@ -30,7 +30,7 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates stays."""
-    return docs.join(minhash.near_duplicates(docs).where("kept").select("doc_id"), "doc_id", "left_semi")
+    return without(docs, minhash.near_duplicates(docs).where("not kept"), "doc_id")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     total = rows.agg(F.sum("tokens")).first()[0] or 0
     given = [weights(spark, DOMAIN_WEIGHTS, "domain"), weights(spark, LANG_WEIGHTS, "lang"), None]
     chosen = mixing.mix(rows, int(total * SHARE), given, ["domain", "lang", "source"], "tokens", SEED, 1)
-    return docs.join(chosen.select("doc_id"), "doc_id", "left_semi")
+    return without(docs, rows.join(chosen, "doc_id", "left_anti"), "doc_id")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,8 +124,8 @@ retrievals AS (SELECT *, {listed(AREAS)}[page_id % 8 + 1] AS area_key, 'r' || lp
     page_id % 13 <> 0 AND page_id % 17 <> 0 AND page_id % 19 <> 0 AND page_id % 23 = 0 AS untyped, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, substr(html, 1, 200) AS chunk FROM pages),
 passages AS (SELECT *, 'about ' || area_key AS query_text, {ident('url', 'title', 'chunk')} AS passage_id FROM retrievals WHERE NOT empty AND NOT failed AND NOT odd AND NOT untyped AND starts_with(url, 'https://') AND length(url) <= 2048
     AND NOT regexp_matches(url, '[\\s[:cntrl:]]') AND NOT contains(url, chr(92)) AND length(trim(title, {BLANKS})) > 0 AND length(trim(chunk, {BLANKS})) > 0),
-status AS (SELECT retrieval_id, captured_at, area_key, 'about ' || area_key AS query_text, odd AS malformed_envelope, failed AS has_error, CASE WHEN empty OR failed OR odd THEN 0 ELSE 1 END AS result_count,
-    CASE WHEN retrieval_id IN (SELECT retrieval_id FROM passages) THEN 1 ELSE 0 END AS accepted_count FROM retrievals),
+status AS (SELECT retrieval_id, captured_at, area_key, 'about ' || area_key AS query_text, odd AS malformed_envelope, failed AS has_error, CASE WHEN empty OR failed OR odd THEN 0::BIGINT ELSE 1::BIGINT END AS result_count,
+    CASE WHEN retrieval_id IN (SELECT retrieval_id FROM passages) THEN 1::BIGINT ELSE 0::BIGINT END AS accepted_count FROM retrievals),
 doc_status AS (SELECT *, result_count - accepted_count AS rejected_count, CASE WHEN has_error THEN 'error' WHEN malformed_envelope THEN 'malformed' WHEN result_count = 0 THEN 'empty' WHEN accepted_count = 0 THEN 'rejected' ELSE 'ready' END AS documentation_status FROM status),
 latest AS (SELECT d.*, coalesce((SELECT sha256(to_json(list(p.passage_id ORDER BY p.passage_id))::VARCHAR) FROM passages p WHERE p.retrieval_id = d.retrieval_id HAVING count(*) > 0), sha256('[]')) AS content_hash
   FROM (SELECT * FROM doc_status QUALIFY row_number() OVER (PARTITION BY area_key ORDER BY captured_at DESC, retrieval_id DESC) = 1) d),
@@ -145,7 +145,7 @@ advised AS (SELECT g.*, p.url, p.chunk, {ident('group_id', 'config_hash', 'evide
 advice_inputs AS (SELECT *, substr(recommendation_id, 1, 1) AS h FROM advised WHERE substr(recommendation_id, 2, 1) NOT IN ('0', '1')),
 advice AS (SELECT *, h NOT IN ('2', '3') AS warranted FROM advice_inputs WHERE substr(recommendation_id, 2, 1) NOT IN ('2', '3')),
 advice_candidates AS (SELECT *, sum(CASE WHEN saved THEN 0 ELSE 1 END) OVER (ORDER BY first_feedback, recommendation_id ROWS UNBOUNDED PRECEDING) AS unsaved_rank FROM (SELECT *, recommendation_id IN (SELECT recommendation_id FROM advice) AS saved FROM advised)),
-results AS (SELECT recommendation_id, group_id, surface, CASE WHEN h IN ('0', '1') THEN 'timeout' END AS model_error, h NOT IN ('0', '1') AS shape_ok, CASE WHEN h IN ('0', '1', '2', '3') THEN 0 ELSE 1 END AS citation_count, CASE WHEN h = '4' THEN 1 ELSE 0 END AS bad_citations,
+results AS (SELECT recommendation_id, group_id, surface, CASE WHEN h IN ('0', '1') THEN 'timeout' END AS model_error, h NOT IN ('0', '1') AS shape_ok, CASE WHEN h IN ('0', '1', '2', '3') THEN 0::BIGINT ELSE 1::BIGINT END AS citation_count, CASE WHEN h = '4' THEN 1::BIGINT ELSE 0::BIGINT END AS bad_citations,
     CASE WHEN h IN ('0', '1') THEN NULL WHEN warranted THEN 'investigate' ELSE 'none' END AS change_mode, CASE WHEN h NOT IN ('0', '1') THEN 'Advice <' || substr(recommendation_id, 1, 6) || '>' END AS headline,
     CASE WHEN h IN ('0', '1') THEN 'shape' WHEN h = '4' THEN 'citation not in its passage' END AS validation_note,
     CASE WHEN h IN ('0', '1') THEN 'ai_error' WHEN h = '4' THEN 'invalid_output' WHEN h IN ('2', '3', '5') THEN 'suppressed' ELSE 'needs_human_review' END AS review_status FROM advice),

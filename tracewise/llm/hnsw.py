@@ -191,7 +191,7 @@ def links_of(g: Graph, raw: np.ndarray, q: np.ndarray, least: float, beam: int =
 def _built(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     raw = matrix(part["embedding"])
     g = Graph.build(raw / np.linalg.norm(raw, axis=1, keepdims=True))
-    blob = pickle.dumps((g, raw, part["vec_id"].to_numpy(), part["copies"].to_numpy()))
+    blob = pickle.dumps((g.x, g.layers, g.tops, raw, part["vec_id"].to_numpy(), part["copies"].to_numpy()))
     return pd.DataFrame({"dim": [key[0]], "label": [key[1]], "shard": [key[2]], "graph": [blob]})
 
 
@@ -207,7 +207,8 @@ def _queried(least: float):
             return v
 
         if len(graphs) and len(queries):
-            g, raw, ids, copies = pickle.loads(graphs["graph"].iloc[0])
+            x, layers, tops, raw, ids, copies = pickle.loads(graphs["graph"].iloc[0])
+            g = Graph(x, layers, tops)
             for own, hit in zip(queries["vec_id"].tolist(), links_of(g, raw, matrix(queries["embedding"]), least), strict=True):
                 hit = hit[ids[hit] != own]
                 out.append((own, None, int(copies[hit].sum())))

@@ -234,7 +234,7 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Crf:
     return fit([r["text"] for r in found], [r["lang"] for r in found])
 
 
-def _in_parts(model: Crf, texts: list[str | None], size: int = 3_000_000) -> tuple[list[str], np.ndarray]:
+def _in_parts(model: Crf, texts: list[str | None], size: int = 600_000) -> tuple[list[str], np.ndarray]:
     """Predictions, `size` characters at a time and one text at least, so that memory stays bounded."""
     langs, scores, at = [], [np.empty(0)], 0
     while at < len(texts):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewise.llm import language, minhash, mixing, pieces, quality
 from tracewise.llm.queries import DOMAIN_WEIGHTS, LANG_WEIGHTS, SEED, domain, fold, model_path, n_words, read, weights
-from tracewise.llm.shared import materialise, without
+from tracewise.llm.shared import materialise, small_batches, without
 
 LEAST_SCORE = 0.3  #: mean marginal of the language from which a document stays; low, as few words say little
 SHARE = 0.8  #: of the tokens that reach the mix
@@ -16,6 +16,7 @@ SHARE = 0.8  #: of the tokens that reach the mix
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter and a language of LEAST_SCORE stay; lang becomes the predicted one. Rows stay where they
     are, repeated ones and those without an id too."""
+    small_batches(spark)
     model = language.train(docs.where(fold("doc_id", 4) != 2))
     found = docs.select(F.struct(*docs.columns).alias("row"), language.labeller(model).alias("found"))
     found = found.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= LEAST_SCORE))

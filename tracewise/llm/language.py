@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewise.llm.quality import sample_labelled
+from tracewise.llm.shared import small_batches
 
 TRAIN_DOCS = 200  #: expected number of labelled texts of each language, at most, that the fit uses
 LEXICON = 4000  #: words in the lexicon
@@ -261,6 +262,7 @@ def _labelled(model: Crf):
 def predict_texts(docs: DataFrame, model: Crf) -> DataFrame:
     """(doc_id, lang_pred, score) for every row: the language of the whole text and its mean marginal; `und` and 0 where
     the text is null or has no letter. Repeated rows give repeated results; other columns are not read."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _labelled(model), "doc_id long, lang_pred string, score double"
     )

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.shared import connected_components, materialise, may_hold
+from tracewise.llm.shared import connected_components, materialise, may_hold, small_batches
 
 ROWS = 6  #: signature values in a band
 BANDS = 52  #: a pair at 0.8 misses all of them with probability (1 - 0.8**6)**52 = 1.4e-7
@@ -156,6 +156,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     comparison, so copies cost a row each. Ids are taken as unique; rows with a null id get null component and kept.
     Other columns of docs are not read. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialise(
         texts.mapInArrow(_signed(shingle_words), "doc_id long, copy binary, n_shingles long, bands array<long>"), "minmax"

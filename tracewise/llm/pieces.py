@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewise.llm.shared import small_batches
+
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -88,6 +90,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """
     with open(model_path, "rb") as f:
         model = f.read()
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return (
         docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))

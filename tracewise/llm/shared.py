@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewise.sources.scratch import materialise
 
 
+BATCH_ROWS = 512  #: of an Arrow batch; whole texts are in it, so it bounds what the JVM and a Python worker hold of them
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows at most for what the session plans from now on; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node that has an edge to another; component is the smallest node reachable.
 

@@ -191,6 +191,19 @@ def test_quality_of_odd_texts(spark):
     assert quality.score_texts(rows, empty).count() == 3
 
 
+def test_quality_threshold_does_not_depend_on_the_sample(spark):
+    rng = np.random.default_rng(3)
+    bad = np.arange(4000) % 10 == 0
+    upper = np.clip(rng.normal(np.where(bad, 14, 20), 6), 1, 39).astype(int)
+    docs = spark.createDataFrame([(i, "A" * int(k) + "b" * (40 - int(k))) for i, k in enumerate(upper)], DOC)
+    labels = spark.createDataFrame([(i, int(not b)) for i, b in enumerate(bad)], "doc_id long, quality int")
+    for rows in (300, 10_000):
+        scored = quality.score_texts(docs, quality.train(docs, labels, rows))
+        assert 0.05 < scored.where("predicted = 0").count() / 4000 < 0.16
+    at = quality.N_FEATURES - 4
+    assert quality.features("x " * 20_000)[at] != quality.features("x " * 20_000 + "y" * 500)[at]
+
+
 PAGE = """<html><head><title>T</title><script>x('</p>')</script></head><body><header>Site</header><nav><ul><li><a href=/a>A long menu entry here</a></li></ul></nav>
 <div class="cookie-notice">We use cookies on this site and so on and so on, for a very long time.</div><article><h1>Head &amp; line</h1><p>First  par<b>agraph</b>
  with &lt;tags&gt; &#233;.<p>No.<br>Second<div class="ad-box ad">Buy this now, all of you</div><form><input> Search here</form><p>Last one.</p></article>

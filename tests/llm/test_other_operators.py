@@ -138,6 +138,33 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, shard):
     assert n.sum() > 1000 and got.n_links.tolist() == n.tolist() and got.component_id.tolist() == component and (got.kept == (got.index == got.component_id)).all()
 
 
+def test_audit_sees_a_graph_that_loses_vectors():
+    x, q = vectors(2000).astype(float), vectors(640, seed=9).astype(float)
+    q[5] = x[5] + 1e-3  # not among the audited queries, and none of those has a link
+    g = hnsw.Graph.build(x / np.linalg.norm(x, axis=1, keepdims=True))
+    g.layers[0][:] = -1
+    assert hnsw.links_of(g, x, q, 0.98)[5].tolist() == linked_to(x, q[5])
+
+
+def linked_to(x, v, least=0.98):
+    return np.flatnonzero(x @ v / np.linalg.norm(x, axis=1) / np.linalg.norm(v) >= least).tolist()
+
+
+@pytest.mark.parametrize("shard", [8192, 20])
+def test_links_found_from_one_end_count_for_both(spark, monkeypatch, shard):
+    whole = hnsw.links_of
+
+    def one_end(g, raw, q, *rest, **more):
+        return [hit[raw[hit, 0] >= v[0]] for hit, v in zip(whole(g, raw, q, *rest, **more), q)]
+
+    monkeypatch.setattr(hnsw, "SHARD", shard)
+    monkeypatch.setattr(hnsw, "links_of", one_end)
+    x = (vectors(20)[np.arange(60) % 20] + 0.02 * np.random.default_rng(4).normal(size=(60, 24))).astype(np.float32)
+    got = hnsw.near_vectors(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], EMB)).toPandas().sort_values("vec_id")
+    n, component = linked(x, np.zeros(60))
+    assert n.sum() >= 120 and got.n_links.tolist() == n.tolist() and got.component_id.tolist() == component
+
+
 def test_near_vectors_of_odd_tables(spark):
     rows = [(1, [1.0, 0.0], None), (2, [1.0, 0.0], None), (3, None, 1), (4, [0.0, 0.0], 1), (5, [float("nan"), 0.0], 1), (6, [1.0, 0.0], 1), (7, [3.0, 0.0], 1), (8, [1.0], 1), (9, [1.0, 0.0], 2)]
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in hnsw.near_vectors(spark.createDataFrame([(*r, 0) for r in rows], EMB + ", shard int")).collect()}

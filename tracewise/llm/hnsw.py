@@ -1,8 +1,9 @@
 """Near-duplicate vectors through navigable small-world graphs.
 
 Vectors of a label are dealt to shards, and each shard gets a hierarchical graph. Every vector queries every shard of
-its label. An audit compares some queries with a full scan, and beams are widened until it finds no link missing; a
-query whose whole beam is links is widened further. Links are verified by cosine, and components are their union.
+its label. An audit compares the nearest vectors of some queries with a full scan, and beams are widened until these are
+found and no link is missing; a query whose whole beam is links is widened further. Links are verified by cosine, count for
+both ends whichever found them, and components are their union.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ SHARD = 8192  #: about as many distinct vectors in a shard
 DEGREE = 12  #: links of a node on upper layers; twice as many on the lowest
 BEAM = 32
 AUDIT = 64  #: queries of a shard and block that are compared with a full scan
+NEAREST = 10  #: vectors of the scan, the query itself left out, that a search of the audit has to find
+RECALL = 0.95  #: share of them, over all queries of the audit, from which a beam is wide enough
 TOGETHER = 512
 
 
@@ -150,8 +153,9 @@ def _walk(x: np.ndarray, links: np.ndarray, q: np.ndarray, start: np.ndarray, be
     return near, ids
 
 
-def links_of(g: Graph, raw: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM) -> list[np.ndarray]:
-    """Numbers of the vectors within cosine `least` of each query. raw and q: the given vectors in double precision."""
+def links_of(g: Graph, raw: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM, same: bool = False) -> list[np.ndarray]:
+    """Numbers of the vectors within cosine `least` of each query. raw and q: the given vectors in double precision.
+    same: whether q is raw, so that each query is its own nearest."""
     unit = lambda v: (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
     uq, n = unit(q), len(raw)
     norm, norm_q = np.linalg.norm(raw, axis=1), np.linalg.norm(q, axis=1)
@@ -180,9 +184,22 @@ def links_of(g: Graph, raw: np.ndarray, q: np.ndarray, least: float, beam: int =
         return out | dict(zip(rows.tolist(), scan(rows), strict=True))
 
     audit = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
-    truth = dict(zip(audit.tolist(), map(set, scan(audit)), strict=True))
-    while beam < n // 4 and any(truth[i] - set(x.tolist()) for i, x in found(audit, beam).items()):
-        beam *= 2
+
+    def passes(beam: int) -> bool:
+        near, ids = g.search(uq[audit], beam)
+        if same:
+            near = np.where(ids == audit[:, None], -2, near)
+        hits = np.minimum((near >= kth).sum(axis=1), NEAREST).sum()
+        return hits >= RECALL * NEAREST * len(audit) and not any(truth[i] - set(x.tolist()) for i, x in found(audit, beam).items())
+
+    if len(audit) and beam < n // 4:
+        truth = dict(zip(audit.tolist(), map(set, scan(audit)), strict=True))
+        all_near = uq[audit] @ g.x.T
+        if same:
+            all_near[np.arange(len(audit)), audit] = -2
+        kth = np.partition(all_near, n - NEAREST, axis=1)[:, n - NEAREST, None] - 1e-6
+        while beam < n // 4 and not passes(beam):
+            beam *= 2
     every = found(np.arange(len(q)), beam)
     out = [every[i] for i in range(len(q))]
     return [verified(i, x) for i, x in enumerate(out)]
@@ -195,9 +212,10 @@ def _built(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"dim": [key[0]], "label": [key[1]], "shard": [key[2]], "graph": [blob]})
 
 
-def _queried(least: float):
-    def run(key: tuple, graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        """For each query its number of links in the shard; and the edges of a spanning forest of the links."""
+def _compared(least: float):
+    def run(key: tuple, graphs: pd.DataFrame) -> pd.DataFrame:
+        """Of one shard, or of two that query each other: each vector's number of links, and the edges of a spanning forest
+        of the links. A link counts for both ends, whichever of them found it."""
         out, root = [], {}
 
         def top(v: int) -> int:
@@ -206,17 +224,31 @@ def _queried(least: float):
                 v = root[v]
             return v
 
-        if len(graphs) and len(queries):
-            x, layers, tops, raw, ids, copies = pickle.loads(graphs["graph"].iloc[0])
-            g = Graph(x, layers, tops)
-            for own, hit in zip(queries["vec_id"].tolist(), links_of(g, raw, matrix(queries["embedding"]), least), strict=True):
-                hit = hit[ids[hit] != own]
-                out.append((own, None, int(copies[hit].sum())))
-                for other in ids[hit].tolist():
-                    a, b = top(own), top(other)
-                    if a != b:
-                        root[a] = b
-                        out.append((own, other, 0))
+        both = [pickle.loads(blob) for blob in graphs["graph"]]
+        (x, layers, tops, raw, ids, copies), (x2, layers2, tops2, raw2, ids2, copies2) = both[0], both[-1]
+        same = len(both) == 1
+        linked = np.zeros((len(ids), len(ids2)), bool)
+        for i, hit in enumerate(links_of(Graph(x2, layers2, tops2), raw2, raw, least, same=same)):
+            linked[i, hit] = True
+        if same:
+            linked |= linked.T
+        else:
+            for i, hit in enumerate(links_of(Graph(x, layers, tops), raw, raw2, least)):
+                linked[hit, i] = True
+        total2 = np.zeros(len(ids2), np.int64)
+        for i, own in enumerate(ids.tolist()):
+            hit = np.flatnonzero(linked[i])
+            hit = hit[ids2[hit] != own]
+            if len(hit):
+                out.append((own, None, int(copies2[hit].sum())))
+                total2[hit] += copies[i]
+            for other in ids2[hit].tolist():
+                a, b = top(own), top(other)
+                if a != b:
+                    root[a] = b
+                    out.append((own, other, 0))
+        if not same:
+            out += [(ids2[i].item(), None, total2[i].item()) for i in np.flatnonzero(total2)]
         return pd.DataFrame(out, columns=["a", "b", "links"]).astype({"a": "Int64", "b": "Int64", "links": "Int64"})
 
     return run
@@ -240,13 +272,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     graphs = materialise(
         nodes.groupBy("dim", "label", "shard").applyInPandas(_built, "dim int, label int, shard long, graph binary"), "graphs"
     )
-    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias(c)
-    asked = graphs.join(shards, ["dim", "label"]).select("dim", "label", "shard", every("block"), "graph")
-    asking = nodes.select("dim", "label", every("shard"), F.col("shard").alias("block"), "vec_id", "embedding")
-    key = ["dim", "label", "shard", "block"]
-    found = materialise(
-        asked.groupBy(*key).cogroup(asking.groupBy(*key)).applyInPandas(_queried(least), "a long, b long, links long"), "links"
-    )
+    # A graph holds its shard's vectors; so two graphs are all that two shards need to query each other.
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
+    asked = graphs.join(shards, ["dim", "label"]).select("dim", "label", "shard", "graph", every.alias("other"))
+    asked = asked.select("dim", "label", F.least("shard", "other").alias("i"), F.greatest("shard", "other").alias("j"), "graph")
+    found = materialise(asked.groupBy("dim", "label", "i", "j").applyInPandas(_compared(least), "a long, b long, links long"), "links")
     component = connected_components(found.where("b is not null").select("a", "b"))
     counts = found.groupBy("a").agg(F.sum("links").alias("links"))
     of_class = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewise.llm import language, minhash, mixing, pieces, quality
 from tracewise.llm.queries import DOMAIN_WEIGHTS, LANG_WEIGHTS, SEED, domain, fold, model_path, n_words, read, weights
-from tracewise.llm.shared import materialise, small_batches, without
+from tracewise.llm.shared import materialise, may_hold, small_batches, without
 
 LEAST_SCORE = 0.3  #: mean marginal of the language from which a document stays; low, as few words say little
 SHARE = 0.8  #: of the tokens that reach the mix
@@ -30,8 +30,16 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates stays."""
-    return without(docs, minhash.near_duplicates(docs).where("not kept"), "doc_id")
+    """The document with the smallest id of each group of near-duplicates stays; of its repeated rows with equal words, one."""
+    found = materialise(minhash.near_duplicates(docs), "near")
+    docs = without(docs, found.where("not kept"), "doc_id")
+    repeated = materialise(found.where("kept").groupBy("doc_id").count().where("count > 1"), "repeated")
+    if repeated.isEmpty():
+        return docs
+    maybe, clear = may_hold(docs, repeated, "doc_id")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = F.trim(F.regexp_replace(F.translate("text", upper, upper.lower()), r"[\x09-\x0D ]+", " "))
+    return clear.unionByName(maybe.withColumn("_words", F.sha2(words, 256)).dropDuplicates(["doc_id", "_words"]).drop("_words"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from tracewise.llm import html, language, minhash, pieces, quality
 from tracewise.llm.queries import QUERIES, model_path
 from tracewise.llm.shared import connected_components
@@ -84,6 +85,32 @@ def test_near_duplicates_of_odd_tables(spark):
     assert got[None]["component_id"] is None and got[None]["kept"] is None
 
 
+def test_repeated_rows_do_not_hide_a_bucket(spark, monkeypatch):
+    base = [f"w{i}" for i in range(100)]
+    texts = {i: " ".join([*base[: 20 * n + 9], "other", *base[20 * n + 10 :]]) for n, i in enumerate((1, 2, 3, 9))}
+    who = {int(minhash.shingles(minhash.words(t), 5).sum()): i for i, t in texts.items()}
+    assert len(who) == 4
+    count = minhash.BANDS
+
+    def two_buckets(found):
+        i = who[int(found.sum())]
+        keys = np.arange(count, dtype=np.uint64) + np.uint64(1000 * i)
+        keys[0], keys[1] = 1 if i != 3 else keys[0], 2 if i != 2 else keys[1]
+        return keys
+
+    monkeypatch.setattr(minhash, "band_keys", two_buckets)
+    docs = spark.createDataFrame(list(texts.items()), DOC)
+    got = minhash.near_duplicates(docs.unionByName(docs)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, 1) for i in (1, 1, 2, 2, 3, 3, 9, 9)]
+
+
+def test_one_of_repeated_rows_stays(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d  e f"), (3, "x y"), (4, "")], DOC)
+    for table_ in (docs, docs.unionByName(docs).unionByName(spark.createDataFrame([(3, "X  y")], DOC))):
+        got = corpus_pipeline.drop_near_duplicates(spark, table_, "").collect()
+        assert sorted(r["doc_id"] for r in got) == [1, 3, 4]
+
+
 def test_query_equals_brute_force(spark):
     got = QUERIES["op4_minhash"](spark, "/root/testdata/sf0.001").toPandas()
     d = pd.read_parquet("/root/testdata/sf0.001/documents.parquet")

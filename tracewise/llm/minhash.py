@@ -129,16 +129,20 @@ def linked_forest(ids: list[int], sets: list[np.ndarray], percent: int) -> list[
 
 
 def _confirmed(size: int, percent: int):
-    """Rows come sorted by (bucket, i, j); a group ends where these change."""
+    """Rows come sorted by (bucket, i, j); a group ends where these change. Repeated rows of a group are compared once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, ids, sets = None, [], []
+        key, ids, sets, seen = None, [], [], set()
         for batch in batches:
             out = []
             for *now, doc, text in zip(*(batch[c].tolist() for c in ("bucket", "i", "j", "doc_id", "text")), strict=True):
                 if now != key:
                     out += linked_forest(ids, sets, percent) if len(ids) > 1 else []
-                    key, ids, sets = now, [], []
+                    key, ids, sets, seen = now, [], [], set()
+                row = doc, xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass"))
+                if row in seen:
+                    continue
+                seen.add(row)
                 ids.append(doc)
                 sets.append(shingles(words(text), size))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -153,8 +157,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 
     Linked: 100 * intersection >= percent * union of the sets of distinct shingles. A text of fewer words is one
     shingle; a null, empty or blank text has none and links with nothing. Equal word sequences are one class before any
-    comparison, so copies cost a row each. Ids are taken as unique; rows with a null id get null component and kept.
-    Other columns of docs are not read. An empty table gives an empty result.
+    comparison, so copies cost a row each. Rows of one id are one node, so all of them are kept or none; rows with a null
+    id get null component and kept. Other columns of docs are not read. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -164,7 +168,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     of_copies = signed.where("copy is not null and doc_id is not null").groupBy("copy").agg(F.min("doc_id").alias("rep"))
     reps = of_copies.select(F.col("rep").alias("doc_id"))
     entries = materialise(
-        signed.select("doc_id", "bands").join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")),
+        signed.select("doc_id", "bands").join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")).distinct(),
         "entries",
     )
     # Buckets with the same members are compared once.

@@ -92,6 +92,26 @@ def test_ann_recall_and_ties(spark):
     assert got.query_id.nunique() == 36 and hits / total >= 0.9
 
 
+def test_ann_scans_for_a_bounded_part_of_the_queries(spark, monkeypatch):
+    x = vectors(600)
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], EMB)
+    search = lambda: sorted(map(tuple, ann.search(rows, F.col("vec_id") % 10 == 0).collect()))
+    want, scanned = search(), ann._scanned
+
+    def bounded(k):
+        run = scanned(k)
+
+        def checked(key, left, right):
+            assert len(right) < 40
+            return run(key, left, right)
+
+        return checked
+
+    monkeypatch.setattr(ann, "QUERIES", 10, raising=False)
+    monkeypatch.setattr(ann, "_scanned", bounded)
+    assert search() == want
+
+
 def test_ann_query_recall(spark):
     e = pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet")
     x, ids = np.stack(e.embedding), e.vec_id.to_numpy()

@@ -342,3 +342,11 @@ def test_runs_freeze_send_once_and_append(spark, pairs, one_config):
 def test_snapshots_get_ids_of_their_own(spark):
     specs = history(spark, ("A", "{}"), ("A", "{}")).drop("snapshot_id")
     assert spans.snapshot(specs).select("snapshot_id").distinct().count() == 2
+
+
+@pytest.mark.parametrize("name", ["pair_hash", "evidence_groups", "good_counterevidence"])
+def test_identities_of_groups_are_hashed_row_by_row(spark, name):
+    from tracewise.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(pair_hash" not in plan and "collect_list(sha2" not in plan

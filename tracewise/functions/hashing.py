@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AGENT = ("agent_database", "agent_schema", "agent_name")
@@ -22,3 +26,33 @@ def identity(*parts: str | Column) -> Column:
 def list_identity(items: Column) -> Column:
     """Of an array in its order; NO_ITEMS for an empty one."""
     return F.sha2(F.to_json(items), 256)
+
+
+def sorted_hash(rows: DataFrame, by: list[str], item: str, around: tuple[str, str, str] = ("", ",", "")) -> DataFrame:
+    """(by, digest, n) of each group: SHA-256 of its sorted items between around's first and last part, joined by the middle
+    one, and its number of rows. by and item: strings. Items are sorted on disk and hashed one by one, so a group of any
+    size is never held as a whole."""
+    first, between, last = (x.encode() for x in around)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, digest, n, held = None, None, 0, False
+
+        def done() -> pa.RecordBatch:
+            digest.update(last)
+            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.string()) for k in key), pa.array([digest.hexdigest()]), pa.array([n])], [*by, "digest", "n"])
+
+        for batch in batches:
+            for *now, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != key:
+                    if key is not None:
+                        yield done()
+                    key, digest, n, held = now, hashlib.sha256(first), 0, False
+                n += 1
+                if x is not None:
+                    digest.update(between * held + x.encode())
+                    held = True
+        if key is not None:
+            yield done()
+
+    schema = ", ".join([*(f"{c} string" for c in by), "digest string, n long"])
+    return rows.select(*by, item).repartition(*by).sortWithinPartitions(*by, item).mapInArrow(run, schema)

@@ -21,6 +21,7 @@ SAMPLE = 16_384  #: vectors, at most about, that the centres are fitted on
 SEEDS = 2048  #: of them that bound the scans
 LISTS = 1024  #: most centres; lists may grow beyond any size, as they are scanned in blocks
 BLOCK = 256  #: vectors of a list scanned by one group
+QUERIES = 2048  #: about as many queries, at most, that one group scans for
 COLUMNS = 16  #: columns read between tests
 EPSILON = 2.1  #: of the test; larger abandons fewer
 
@@ -144,9 +145,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = 0.6
             out = b.assign(cell=cells).explode("cell").dropna(subset=["cell"])
             yield pd.DataFrame({"query_id": out["vec_id"], "embedding": out["embedding"], "bound": out["bound"], "list": [c[0] for c in out["cell"]], "block": [c[1] for c in out["cell"]]})
 
+    # Each part of the queries meets each block of a list in a group of its own.
+    parts = -(-listed.where("is_query").count() // QUERIES)
+    part = F.pmod(F.xxhash64("query_id", F.lit("part")), F.lit(max(1, parts))).cast("int").alias("part")
     by_list = F.create_map(*[F.lit(int(x)) for pair in enumerate(np.maximum(blocks, 1)) for x in pair])
-    stored = listed.select("vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), by_list[F.col("list")]).cast("int").alias("block"))
-    queries = listed.where("is_query").select("vec_id", "embedding").mapInPandas(probed, "query_id long, embedding array<float>, bound double, list int, block int")
-    found = stored.groupBy("list", "block").cogroup(queries.groupBy("list", "block")).applyInPandas(_scanned(k), "query_id long, vec_id long, score double")
+    stored = listed.select("vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), by_list[F.col("list")]).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(max(1, parts) - 1))).alias("part"))
+    queries = listed.where("is_query").select("vec_id", "embedding").mapInPandas(probed, "query_id long, embedding array<float>, bound double, list int, block int").select("*", part)
+    found = stored.groupBy("list", "block", "part").cogroup(queries.groupBy("list", "block", "part")).applyInPandas(_scanned(k), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

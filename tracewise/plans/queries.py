@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewise.functions.hashing import AGENT
+from tracewise.functions.hashing import AGENT, sorted_hash
 from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work, workflow
 from tracewise.plans.model import AS_OF, SERVICE, Model
 from tracewise.sources import adapters, spans
@@ -79,7 +79,7 @@ def turn_hash(m: Model) -> DataFrame:
 
 @query
 def pair_hash(m: Model) -> DataFrame:
-    return m.pairs.groupBy(*NAMES).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("pair_hash")), ","), 256).alias("all_pairs"), F.count("*").alias("pairs"))
+    return sorted_hash(m.pairs, [*NAMES], "pair_hash").select(*NAMES, F.col("digest").alias("all_pairs"), F.col("n").alias("pairs"))
 
 
 @query

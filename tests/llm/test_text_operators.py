@@ -127,7 +127,7 @@ def test_components_of_long_paths(spark):
 
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=model_path())
-TABLE = pieces.ChunkTable(model_path(), limit=50)
+TABLE = pieces.ChunkTable(model_path(), limit=5000)
 
 
 @settings(max_examples=300, deadline=None)

@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewise.llm.quality import sample_labelled
-from tracewise.llm.shared import small_batches
+from tracewise.llm.shared import give_back, slices, small_batches
 
 TRAIN_DOCS = 200  #: expected number of labelled texts of each language, at most, that the fit uses
 LEXICON = 4000  #: words in the lexicon
 STEPS = 16
 CHUNK = 24
+SLICE = 200_000  #: characters labelled at once, or one text
 
 _LETTER = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))  # lower-case letters and beyond ASCII
 _B2, _B3 = 1 << 16, 1 << 17
@@ -235,22 +236,18 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Crf:
     return fit([r["text"] for r in found], [r["lang"] for r in found])
 
 
-def _in_parts(model: Crf, texts: list[str | None], size: int = 600_000) -> tuple[list[str], np.ndarray]:
+def _in_parts(model: Crf, texts: list[str | None], size: int = SLICE) -> tuple[list[str], np.ndarray]:
     """Predictions, `size` characters at a time and one text at least, so that memory stays bounded."""
-    langs, scores, at = [], [np.empty(0)], 0
-    while at < len(texts):
-        end, n = at, 0
-        while end < len(texts) and (end == at or n + len(texts[end] or "") <= size):
-            n += len(texts[end] or "")
-            end += 1
+    langs, scores = [], [np.empty(0)]
+    for at, end in slices(texts, size):
         got, p = model.predict(texts[at:end])
         langs += got
         scores.append(p)
-        at = end
     return langs, np.concatenate(scores)
 
 
 def _labelled(model: Crf):
+    @give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = _in_parts(model, batch.column(1).to_pylist())
@@ -271,10 +268,14 @@ def predict_texts(docs: DataFrame, model: Crf) -> DataFrame:
 def labeller(model: Crf, text: str = "text") -> Column:
     """struct<lang_pred,score> as a column, for filters that keep whole rows where they are."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def label(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @give_back
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for t in texts:
             langs, scores = _in_parts(model, t.tolist())
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
+    @F.pandas_udf("lang_pred string, score double")
+    def label(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return run(texts)
+
     return label(F.col(text))

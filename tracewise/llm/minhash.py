@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.shared import connected_components, materialise, may_hold, small_batches
+from tracewise.llm.shared import connected_components, give_back, materialise, may_hold, small_batches
 
 ROWS = 6  #: signature values in a band
 BANDS = 52  #: a pair at 0.8 misses all of them with probability (1 - 0.8**6)**52 = 1.4e-7
@@ -68,6 +68,7 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 
 
 def _signed(size: int):
+    @give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, copies, sizes, keys, ends = [], [], [], [], [0]
@@ -131,6 +132,7 @@ def linked_forest(ids: list[int], sets: list[np.ndarray], percent: int) -> list[
 def _confirmed(size: int, percent: int):
     """Rows come sorted by (bucket, i, j); a group ends where these change. Repeated rows of a group are compared once."""
 
+    @give_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, ids, sets, seen = None, [], [], set()
         for batch in batches:

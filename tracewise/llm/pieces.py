@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding with a table of distinct chunks.
 
 No piece of the model may hold a white-space marker after another character, so no piece crosses the start of a marked
-word. Each task keeps a table of the marked words it has met, segments each of them once with the library and joins the
-ids back by position. A table for the whole corpus would shuffle every word of it, more than the input itself.
+word. Each worker process keeps a table of the marked words it has met, over all its tasks, segments each of them once
+with the library and joins the ids back by position. A table for the whole corpus would shuffle every word of it, more
+than the input itself.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.shared import small_batches
+from tracewise.llm.shared import give_back, kept, slices, small_batches
 
 MARK = "▁"
+SLICE = 200_000  #: characters of texts encoded at once, or one text
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -27,14 +30,17 @@ def separable(pieces: list[str]) -> bool:
 
 
 class ChunkTable:
-    """Marked word -> (ids as text, ids); emptied before it holds more than `limit` words and those of one batch."""
+    """Marked word -> (ids as text, ids as 32-bit numbers); emptied before it holds more than `limit` bytes, counting
+    OVERHEAD for a word, apart from the words of one slice of texts."""
 
-    def __init__(self, model: str | bytes, limit: int = 100_000) -> None:
+    OVERHEAD = 250
+
+    def __init__(self, model: str | bytes, limit: int = 16_000_000) -> None:
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor()
         self.sp.Load(model_proto=model) if isinstance(model, bytes) else self.sp.Load(model)
-        self.limit, self.known = limit, {}
+        self.limit, self.known, self.size = limit, {}, 0
         if not separable([self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]):
             raise ValueError("pieces of this model cross white-space markers")
         if "".join(self.sp.encode(" ﬁ  a ", out_type=str)) != f"{MARK * 2}ﬁ{MARK * 2}a{MARK}":
@@ -46,37 +52,44 @@ class ChunkTable:
         return _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def learn(self, found: set[str]) -> None:
+        if self.size > self.limit:
+            self.known, self.size = {}, 0
         new = [c for c in found if c not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known, new = {}, list(found)
         # The library puts the first marker itself; it gives nothing for an empty text, so a lone marker is looked up.
         for chunk, ids in zip(new, self.sp.encode([c[1:] for c in new], num_threads=1) if new else (), strict=True):
             ids = ids or [self.sp.piece_to_id(MARK)]
-            self.known[chunk] = (",".join(map(str, ids)), ids)
+            self.known[chunk] = entry = (",".join(map(str, ids)), np.array(ids, np.int32).tobytes())
+            self.size += self.OVERHEAD + len(chunk) + len(entry[0]) + len(entry[1])
 
     def encode(self, text: str | None) -> list[int]:
         parts = self.chunks(text)
         self.learn(set(parts))
-        return [i for c in parts for i in self.known[c][1]]
+        return np.frombuffer(b"".join([self.known[c][1] for c in parts]), np.int32).tolist()
+
 
+def _encoded(model: bytes, size: int = SLICE):
+    of_model = hashlib.sha256(model).hexdigest()
 
-def _encoded(model: bytes, step: int = 256):
+    @give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ChunkTable(model)
+        table = kept(f"table_{of_model}", lambda: ChunkTable(model))
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                split = [table.chunks(t) for t in part.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            for at, end in slices(texts, size):
+                split = [table.chunks(t) for t in texts[at:end]]
                 table.learn({c for s in split for c in s})
-                known = table.known
-                ids = [[i for c in s for i in known[c][1]] for s in split]
-                texts = [",".join([known[c][0] for c in s]) for s in split]
-                decoded = [table.sp.decode(x) if x else "" for x in ids]
+                known, counts, raw, decoded, digests = table.known, [], [], [], []
+                for s in split:
+                    raw.append(b"".join([known[c][1] for c in s]))
+                    counts.append(len(raw[-1]) // 4)
+                    digests.append(hashlib.sha256(",".join([known[c][0] for c in s]).encode()).hexdigest())
+                    decoded.append(table.sp.decode(np.frombuffer(raw[-1], np.int32).tolist()) if s else "")
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(raw), np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array(decoded, pa.string()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts])],
+                    [batch.column(0).slice(at, end - at), pa.array(counts, pa.int64()), ids, pa.array(decoded, pa.string()), pa.array(digests)],
                     ["key", "n_tokens", "ids", "decoded", "ids_sha256"],
-                )
+                )
 
     return run
 

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+import types
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +25,46 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+def slices(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of consecutive runs of texts of `size` characters together at most; a longer text is a run by itself."""
+    at = 0
+    while at < len(texts):
+        end, n = at, 0
+        while end < len(texts) and (end == at or n + len(texts[end] or "") <= size):
+            n += len(texts[end] or "")
+            end += 1
+        yield at, end
+        at = end
+
+
+def give_back(run: Callable[..., Iterable]) -> Callable[..., Iterator]:
+    """A task's generator that, when it ends, returns what the worker's allocators hold but do not use; workers live on
+    between stages, and what each stage has needed at most would add up."""
+
+    @wraps(run)
+    def wrapped(*args: Any) -> Iterator:
+        try:
+            yield from run(*args)
+        finally:
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library, which keeps to its own rules
+                pass
+
+    return wrapped
+
+
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """What make() gives, once a worker process. Functions travel by value, so a module's own variables are new in each task."""
+    store = sys.modules.setdefault("_tracewise_kept", types.ModuleType("_tracewise_kept"))
+    if not hasattr(store, name):
+        setattr(store, name, make())
+    return getattr(store, name)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node that has an edge to another; component is the smallest node reachable.
 

@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by adaptive dimension scan in inverted lists.
 
 Vectors are dealt to the nearest of sampled k-means centres. A query probes the lists of its nearest centres. There,
-vectors are rotated at random and read in blocks of columns: the part of the distance seen so far is tested against the
-distance of the k-th best, and a candidate is abandoned once it can hardly be nearer. Survivors get exact distances.
+vectors are rotated at random and read in blocks of columns. After a random rotation the share of a squared distance that
+lies in t of d columns is distributed as Beta(t/2, (d-t)/2); so a candidate is abandoned once what has been read of its
+distance is more than a vector at the distance of the k-th best would show but for one case in 1/ALPHA. Survivors get
+exact distances.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ from tracewise.llm.shared import materialise
 from tracewise.llm.vectors import matrix, usable
 
 SAMPLE = 16_384  #: vectors, at most about, that the centres are fitted on
-SEEDS = 2048  #: of them that bound the scans
 LISTS = 1024  #: most centres; lists may grow beyond any size, as they are scanned in blocks
-BLOCK = 256  #: vectors of a list scanned by one group
+BLOCK = 1024  #: vectors of a list scanned by one group
 QUERIES = 2048  #: about as many queries, at most, that one group scans for
-COLUMNS = 16  #: columns read between tests
-EPSILON = 2.1  #: of the test; larger abandons fewer
+COLUMNS = 8  #: columns read between tests
+ALPHA = 0.002  #: probability that a test abandons a vector as near as the k-th best
+PAIRS = 1 << 15  #: of a query and a candidate that are scanned in step
 
 
 def rotation(dim: int, seed: int = 11) -> np.ndarray:
@@ -54,39 +56,54 @@ def nearest(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, n), np.int64)
 
 
-def scan(query: np.ndarray, own: int, bound: float, ids: np.ndarray, x: np.ndarray, turned: np.ndarray, turned_query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, distances) of the k best of one block for one query, by distance, then id; never the query's own id.
-    bound: a squared distance that the query's k-th nearest is known not to exceed."""
-    dim = x.shape[1]
-    alive = np.flatnonzero(ids != own)
-    exact = lambda rows: ((x[rows] - query) ** 2).sum(axis=1)
-    if len(alive) > 2 * k:
-        bound = min(bound, np.partition(exact(alive[: 2 * k]), k - 1)[k - 1])
-    if len(alive):
-        part = np.zeros(len(alive))
-        for at in range(0, dim, COLUMNS):
-            part += ((turned[alive, at : at + COLUMNS] - turned_query[at : at + COLUMNS]) ** 2).sum(axis=1)
-            seen = min(dim, at + COLUMNS)
-            # Before the last block the test leaves room for chance, at the last only for rounding.
-            room = (1 + EPSILON / np.sqrt(seen)) ** 2 if seen < dim else 1 + 1e-9
-            keep = part <= bound * seen / dim * room + 1e-12
-            alive, part = alive[keep], part[keep]
-    d = np.sqrt(exact(alive))
-    best = np.lexsort((ids[alive], d))[:k]
-    return ids[alive][best], d[best]
-
-
-def _scanned(k: int):
+def shares(dim: int) -> list[tuple[int, int, float]]:
+    """(first column, end, share of the squared distance up to the end that is not exceeded but with probability ALPHA):
+    quantiles of the Beta distributions, from sums over a grid. The last block leaves room for rounding only."""
+    out, x = [], np.arange(1, 20_000) / 20_000
+    for at in range(0, dim, COLUMNS):
+        end = min(dim, at + COLUMNS)
+        share = 1 + 1e-9
+        if end < dim:
+            density = (end / 2 - 1) * np.log(x) + ((dim - end) / 2 - 1) * np.log1p(-x)
+            below = np.cumsum(np.exp(density - density.max()))
+            share = float(x[np.searchsorted(below, (1 - ALPHA) * below[-1])])
+        out.append((at, end, share))
+    return out
+
+
+def scan(q: np.ndarray, own: np.ndarray, bound: np.ndarray, ids: np.ndarray, x: np.ndarray, turned: np.ndarray, turned_q: np.ndarray, k: int, tests: list[tuple[int, int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query's row, id, distance) of the k best of one block for each query, by row, distance and id, never a query's own
+    id; and the number of components read before exact distances. bound: a squared distance that each query's k-th
+    nearest is known not to exceed; without one (infinite) nothing is abandoned for that query."""
+    i, j = np.nonzero(own[:, None] != ids[None, :])
+    part, read = np.zeros(len(i)), 0
+    for at, end, share in tests:
+        read += len(i) * (end - at)
+        part += ((turned[j, at:end] - turned_q[i, at:end]) ** 2).sum(axis=1)
+        keep = part <= bound[i] * share + 1e-12
+        i, j, part = i[keep], j[keep], part[keep]
+    d = np.sqrt(((x[j] - q[i]) ** 2).sum(axis=1))
+    order = np.lexsort((ids[j], d, i))
+    i, j, d = i[order], j[order], d[order]
+    first = np.searchsorted(i, i)  # where the rows of the same query begin
+    best = np.arange(len(i)) - first < k
+    return i[best], ids[j[best]], d[best], read
+
+
+def _scanned(k: int, tests: list[tuple[int, int, float]]):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             ids, x, q = left["vec_id"].to_numpy(), matrix(left["embedding"]), matrix(right["embedding"])
+            own, bound = right["query_id"].to_numpy(), right["bound"].to_numpy()
             turn = rotation(x.shape[1])
             turned, turned_q = x @ turn, q @ turn
-            for i, (own, bound) in enumerate(zip(right["query_id"].tolist(), right["bound"].tolist(), strict=True)):
-                found, d = scan(q[i], own, bound, ids, x, turned, turned_q[i], k)
-                out += zip([own] * len(found), found.tolist(), d.tolist(), strict=True)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            step = max(1, PAIRS // len(ids))
+            for at in range(0, len(q), step):
+                part = slice(at, at + step)
+                i, found, d, _ = scan(q[part], own[part], bound[part], ids, x, turned, turned_q[part], k, tests)
+                out.append(pd.DataFrame({"query_id": own[part][i], "vec_id": found, "score": d}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
 
     return run
 
@@ -94,10 +111,12 @@ def _scanned(k: int):
 def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = 0.6, least: int = 8) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found of every query row among all other rows.
 
-    vectors: vec_id, embedding. Score: Euclidean distance of the given vectors in double precision; ties go to the
-    smaller id. A query probes `share` of the lists, `least` of them at least, and more until they hold more than k
-    vectors. Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do vectors of
-    another length than most; null ids neither. Repeated ids count as candidates of their own but not for their query.
+    vectors: vec_id, embedding; other columns, whatever their names, are only read by is_query. Score: Euclidean distance
+    of the given vectors in double precision; ties go to the smaller id. A query probes `share` of the lists, `least` of
+    them at least, and more until they hold more than k vectors. Vectors that are null, empty, zero or hold null or
+    non-finite components take no part, nor do vectors of another length than most; null ids neither. A repeated row
+    counts once. Of an id with several vectors the first in array order asks, and the nearest one is found; it is never
+    found for its own id. An empty table, or one without usable vectors, gives an empty result.
     """
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", is_query.alias("is_query")).where(
         F.col("vec_id").isNotNull() & usable(F.col("embedding"))
@@ -126,31 +145,48 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = 0.6
     blocks = -(-size // BLOCK)
     probes = max(least, int(np.ceil(share * len(centres))))
 
-    seeds = fitted[:SEEDS]
-    seed_ids, seed_lists = fitted_ids[:SEEDS], nearest(seeds, centres, 1)[:, 0]
+    # The k nearest sampled vectors are results themselves, so their distances bound every scan.
+    squares, single = (fitted**2).sum(axis=1), fitted.astype(np.float32)
+
+    def of_sample(own: int, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, distances) of the k nearest vectors of the sample, of as many ids."""
+        d = squares - 2 * (single @ q.astype(np.float32))
+        at = np.argpartition(d, min(len(d), 8 * k) - 1)[: 8 * k]
+        at = at[fitted_ids[at] != own]
+        d = np.sqrt(((fitted[at] - q) ** 2).sum(axis=1))
+        order = np.lexsort((fitted_ids[at], d))
+        found, first = np.unique(fitted_ids[at][order], return_index=True)
+        first = np.sort(first)[:k]
+        return fitted_ids[at][order][first], d[order][first]
+
+    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i, x in zip(b["vec_id"].tolist(), matrix(b["embedding"]), strict=True):
+                found, d = of_sample(i, x)
+                yield pd.DataFrame({"query_id": np.full(len(found), i), "vec_id": found, "score": d})
 
-    def bound(own: int, q: np.ndarray, lists: np.ndarray) -> float:
-        """Squared distance of the k-th nearest seed in the probed lists: the scans will find as near ones."""
-        use = np.isin(seed_lists, lists) & (seed_ids != own)
-        d = ((seeds[use] - q) ** 2).sum(axis=1)
-        return float(np.partition(d, k - 1)[k - 1]) if len(d) >= k else float("inf")
+    def bounds(own: np.ndarray, q: np.ndarray) -> list[float]:
+        return [float(d[k - 1] ** 2 * (1 + 1e-9)) if len(d) == k else float("inf") for _, d in (of_sample(i, x) for i, x in zip(own, q, strict=True))]
 
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             order = nearest(matrix(b["embedding"]), centres, len(centres)) if len(b) else np.empty((0, len(centres)), int)
             need = (np.cumsum(size[order], axis=1) <= k).sum(axis=1) + 1
             take = [o[: max(probes, m)] for o, m in zip(order, need, strict=True)]
-            b = b.assign(bound=[bound(i, x, t) for i, x, t in zip(b["vec_id"].tolist(), matrix(b["embedding"]), take, strict=True)])
+            b = b.assign(bound=bounds(b["vec_id"].to_numpy(), matrix(b["embedding"])))
             cells = [[(int(x), s) for x in t for s in range(blocks[x])] for t in take]
             out = b.assign(cell=cells).explode("cell").dropna(subset=["cell"])
             yield pd.DataFrame({"query_id": out["vec_id"], "embedding": out["embedding"], "bound": out["bound"], "list": [c[0] for c in out["cell"]], "block": [c[1] for c in out["cell"]]})
 
+    asked = listed.where("is_query").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     # Each part of the queries meets each block of a list in a group of its own.
-    parts = -(-listed.where("is_query").count() // QUERIES)
+    parts = -(-asked.count() // QUERIES)
     part = F.pmod(F.xxhash64("query_id", F.lit("part")), F.lit(max(1, parts))).cast("int").alias("part")
     by_list = F.create_map(*[F.lit(int(x)) for pair in enumerate(np.maximum(blocks, 1)) for x in pair])
     stored = listed.select("vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), by_list[F.col("list")]).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(max(1, parts) - 1))).alias("part"))
-    queries = listed.where("is_query").select("vec_id", "embedding").mapInPandas(probed, "query_id long, embedding array<float>, bound double, list int, block int").select("*", part)
-    found = stored.groupBy("list", "block", "part").cogroup(queries.groupBy("list", "block", "part")).applyInPandas(_scanned(k), "query_id long, vec_id long, score double")
+    queries = asked.mapInPandas(probed, "query_id long, embedding array<float>, bound double, list int, block int").select("*", part)
+    found = stored.groupBy("list", "block", "part").cogroup(queries.groupBy("list", "block", "part")).applyInPandas(_scanned(k, shares(dim)), "query_id long, vec_id long, score double")
+    found = found.unionByName(asked.mapInPandas(sampled, "query_id long, vec_id long, score double"))
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,9 +1,11 @@
 """Near-duplicate vectors through navigable small-world graphs.
 
 Vectors of a label are dealt to shards, and each shard gets a hierarchical graph. Every vector queries every shard of
-its label. An audit compares the nearest vectors of some queries with a full scan, and beams are widened until these are
-found and no link is missing; a query whose whole beam is links is widened further. Links are verified by cosine, count for
-both ends whichever found them, and components are their union.
+its label. An audit of each graph searches for vectors turned away from some of its own until they are only just similar
+enough to be links, and beams are widened until all of those are found; another compares the links of some queries of each
+shard with a full scan. A query whose whole beam is links is widened further, and vectors that no path in the graph
+reaches are scanned. Links are verified by cosine, count for both ends whichever found them, and components are their
+union.
 """
 
 from __future__ import annotations
@@ -17,15 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewise.llm.shared import connected_components, materialise
-from tracewise.llm.vectors import matrix, usable
+from tracewise.llm.vectors import usable
 
 SHARD = 8192  #: about as many distinct vectors in a shard
 DEGREE = 12  #: links of a node on upper layers; twice as many on the lowest
 BEAM = 32
-AUDIT = 64  #: queries of a shard and block that are compared with a full scan
-NEAREST = 10  #: vectors of the scan, the query itself left out, that a search of the audit has to find
-RECALL = 0.95  #: share of them, over all queries of the audit, from which a beam is wide enough
+AUDIT = 64  #: vectors of a graph, and queries of a shard, that an audit looks at
 TOGETHER = 512
+SLACK = 1e-5  #: by which similarities in single precision may fall short; pairs are verified in double
 
 
 def _diverse(near: np.ndarray, ids: np.ndarray, x: np.ndarray, most: int) -> np.ndarray:
@@ -52,6 +53,32 @@ class Graph:
     layers: list[np.ndarray]
     tops: list[np.ndarray]
 
+    def pack(self) -> tuple:
+        """Layers in as few bytes as will do; the vectors are left out."""
+        small = np.int16 if len(self.x) < 1 << 15 else np.int32
+        return [(m.astype(small), links[m].astype(small)) for m, links in zip(self.tops, self.layers, strict=True)]
+
+    @staticmethod
+    def unpack(x: np.ndarray, packed: list[tuple[np.ndarray, np.ndarray]]) -> Graph:
+        g = Graph(x, [], [])
+        for members, links in packed:
+            layer = np.full((len(x), links.shape[1]), -1, np.int32)
+            layer[members] = links
+            g.layers.append(layer)
+            g.tops.append(members.astype(np.int64))
+        return g
+
+    def lost(self) -> np.ndarray:
+        """Numbers of the vectors that no path of the lowest layer reaches from where searches enter it."""
+        seen = np.zeros(len(self.x), bool)
+        front = self.tops[min(1, len(self.tops) - 1)] if len(self.tops) > 1 else self.tops[0][:1]
+        while len(front):
+            seen[front] = True
+            near = self.layers[0][front]
+            front = np.unique(near[near >= 0])
+            front = front[~seen[front]]
+        return np.flatnonzero(~seen)
+
     @staticmethod
     def build(x: np.ndarray, seed: int = 3) -> Graph:
         x = np.ascontiguousarray(x, np.float32)
@@ -153,16 +180,46 @@ def _walk(x: np.ndarray, links: np.ndarray, q: np.ndarray, start: np.ndarray, be
     return near, ids
 
 
-def links_of(g: Graph, raw: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM, same: bool = False) -> list[np.ndarray]:
-    """Numbers of the vectors within cosine `least` of each query. raw and q: the given vectors in double precision.
-    same: whether q is raw, so that each query is its own nearest."""
-    unit = lambda v: (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
-    uq, n = unit(q), len(raw)
+def unit(v: np.ndarray) -> np.ndarray:
+    v = v.astype(np.float64)
+    return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+
+
+def scan_from(n: int) -> int:
+    """The beam from which a search would cost more than a scan of n vectors; graphs of few vectors are searched too."""
+    return max(2 * BEAM, n // 4)
+
+
+def audited_beam(g: Graph, least: float, beam: int = BEAM) -> int:
+    """The narrowest doubled beam that finds each of AUDIT of the graph's vectors from a place at cosine `least` of it,
+    unless what it finds instead is links alone, for which searches widen their beams anyway."""
+    n = len(g.x)
+    at = np.unique(np.linspace(0, n - 1, min(AUDIT, n)).astype(int))
+    v = g.x[at].astype(np.float64)
+    away = np.random.default_rng(n).standard_normal(v.shape)
+    away -= (away * v).sum(axis=1, keepdims=True) * v
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+    probes = (least * v + np.sqrt(max(0.0, 1 - least**2)) * away).astype(np.float32)
+    lost = np.isin(at, g.lost())
+    while beam < scan_from(n):
+        near, ids = g.search(probes, beam)
+        if ((ids == at[:, None]).any(axis=1) | (near[:, -1] >= least - SLACK) | lost).all():
+            break
+        beam *= 2
+    return beam
+
+
+def links_of(g: Graph, raw: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM) -> list[np.ndarray]:
+    """Sorted numbers of the vectors within cosine `least` of each query. raw and q: the given vectors; beam: what the
+    graph's own audit allows."""
+    raw, q, uq, n = raw.astype(np.float64), q.astype(np.float64), unit(q), len(raw)
     norm, norm_q = np.linalg.norm(raw, axis=1), np.linalg.norm(q, axis=1)
-    slack = least - 1e-5  # single precision may fall short; pairs are verified in double
+    slack, lost = least - SLACK, g.lost()
 
     def verified(i: int, ids: np.ndarray) -> np.ndarray:
-        return ids[(raw[ids] * q[i]).sum(axis=1) / (norm[ids] * norm_q[i]) >= least]
+        dots = raw @ q[i] if len(ids) > n // 8 else None
+        dots = (raw[ids] * q[i]).sum(axis=1) if dots is None else dots[ids]
+        return ids[dots / (norm[ids] * norm_q[i]) >= least]
 
     def scan(rows: np.ndarray) -> list[np.ndarray]:
         return [np.flatnonzero(s >= slack) for at in range(0, len(rows), TOGETHER) for s in uq[rows[at : at + TOGETHER]] @ g.x.T]
@@ -170,85 +227,84 @@ def links_of(g: Graph, raw: np.ndarray, q: np.ndarray, least: float, beam: int =
     def found(rows: np.ndarray, beam: int) -> dict[int, np.ndarray]:
         """Beams full of links are doubled; one as wide as a good part of the shard would cost more than a scan."""
         out: dict[int, np.ndarray] = {}
-        while len(rows) and beam < n // 4:
+        while len(rows) and beam < scan_from(n):
             full = []
             for at in range(0, len(rows), TOGETHER):
                 part = rows[at : at + TOGETHER]
-                for i, s, x in zip(part.tolist(), *g.search(uq[part], beam), strict=True):
+                apart = uq[part] @ g.x[lost].T
+                for i, s, x, other in zip(part.tolist(), *g.search(uq[part], beam), apart, strict=True):
                     if s[-1] >= slack:
                         full.append(i)
                     else:
-                        out[i] = x[s >= slack]
+                        out[i] = np.union1d(x[s >= slack], lost[other >= slack]).astype(np.int64)
             rows = np.array(full, int)
             beam *= 2
         return out | dict(zip(rows.tolist(), scan(rows), strict=True))
 
     audit = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
+    truth = dict(zip(audit.tolist(), map(set, scan(audit)), strict=True))
+    while beam < scan_from(n) and any(truth[i] - set(x.tolist()) for i, x in found(audit, beam).items()):
+        beam *= 2
+    every = found(np.arange(len(q)), beam)
+    return [verified(i, every[i]) for i in range(len(q))]
 
-    def passes(beam: int) -> bool:
-        near, ids = g.search(uq[audit], beam)
-        if same:
-            near = np.where(ids == audit[:, None], -2, near)
-        hits = np.minimum((near >= kth).sum(axis=1), NEAREST).sum()
-        return hits >= RECALL * NEAREST * len(audit) and not any(truth[i] - set(x.tolist()) for i, x in found(audit, beam).items())
 
-    if len(audit) and beam < n // 4:
-        truth = dict(zip(audit.tolist(), map(set, scan(audit)), strict=True))
-        all_near = uq[audit] @ g.x.T
-        if same:
-            all_near[np.arange(len(audit)), audit] = -2
-        kth = np.partition(all_near, n - NEAREST, axis=1)[:, n - NEAREST, None] - 1e-6
-        while beam < n // 4 and not passes(beam):
-            beam *= 2
-    every = found(np.arange(len(q)), beam)
-    out = [every[i] for i in range(len(q))]
-    return [verified(i, x) for i, x in enumerate(out)]
+def _built(least: float):
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        raw = np.stack(part["embedding"].to_numpy())
+        g = Graph.build(unit(raw))
+        blob = pickle.dumps((raw, g.pack(), audited_beam(g, least), part["vec_id"].to_numpy(), part["copies"].to_numpy()))
+        return pd.DataFrame({"dim": [key[0]], "label": [key[1]], "shard": [key[2]], "graph": [blob]})
+
+    return run
 
 
-def _built(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    raw = matrix(part["embedding"])
-    g = Graph.build(raw / np.linalg.norm(raw, axis=1, keepdims=True))
-    blob = pickle.dumps((g.x, g.layers, g.tops, raw, part["vec_id"].to_numpy(), part["copies"].to_numpy()))
-    return pd.DataFrame({"dim": [key[0]], "label": [key[1]], "shard": [key[2]], "graph": [blob]})
+def components(linked: np.ndarray, same: bool) -> list[tuple[int, int]]:
+    """(first, other) numbers that span each set of rows and columns that links join. Columns are numbered after the rows,
+    or as they are if both are the same vectors."""
+    rows, columns = linked.shape
+    out, seen, seen_column = [], np.zeros(rows, bool), np.zeros(columns, bool)
+    for start in np.flatnonzero(linked.any(axis=1)).tolist():
+        if seen[start]:
+            continue
+        front = np.array([start])
+        seen[start] = True
+        while len(front):
+            hit = np.flatnonzero(linked[front].any(axis=0) & ~seen_column)
+            seen_column[hit] = True
+            out += [(start, int(j) + (0 if same else rows)) for j in hit]
+            front = hit[~seen[hit]] if same else np.flatnonzero(linked[:, hit].any(axis=1) & ~seen)
+            seen[front] = True
+            if not same:
+                out += [(start, int(i)) for i in front]
+    return [(a, b) for a, b in out if a != b]
 
 
 def _compared(least: float):
     def run(key: tuple, graphs: pd.DataFrame) -> pd.DataFrame:
-        """Of one shard, or of two that query each other: each vector's number of links, and the edges of a spanning forest
-        of the links. A link counts for both ends, whichever of them found it."""
-        out, root = [], {}
-
-        def top(v: int) -> int:
-            while root.setdefault(v, v) != v:
-                root[v] = root[root[v]]
-                v = root[v]
-            return v
-
+        """Of one shard, or of two that query each other: each vector's number of links, and edges that span its links. A
+        link counts for both ends, whichever of them found it."""
         both = [pickle.loads(blob) for blob in graphs["graph"]]
-        (x, layers, tops, raw, ids, copies), (x2, layers2, tops2, raw2, ids2, copies2) = both[0], both[-1]
+        (raw, packed, beam, ids, copies), (raw2, packed2, beam2, ids2, copies2) = both[0], both[-1]
         same = len(both) == 1
         linked = np.zeros((len(ids), len(ids2)), bool)
-        for i, hit in enumerate(links_of(Graph(x2, layers2, tops2), raw2, raw, least, same=same)):
+        for i, hit in enumerate(links_of(Graph.unpack(unit(raw2), packed2), raw2, raw, least, beam2)):
             linked[i, hit] = True
         if same:
             linked |= linked.T
+            np.fill_diagonal(linked, False)
         else:
-            for i, hit in enumerate(links_of(Graph(x, layers, tops), raw, raw2, least)):
+            for i, hit in enumerate(links_of(Graph.unpack(unit(raw), packed), raw, raw2, least, beam)):
                 linked[hit, i] = True
-        total2 = np.zeros(len(ids2), np.int64)
-        for i, own in enumerate(ids.tolist()):
-            hit = np.flatnonzero(linked[i])
-            hit = hit[ids2[hit] != own]
-            if len(hit):
-                out.append((own, None, int(copies2[hit].sum())))
-                total2[hit] += copies[i]
-            for other in ids2[hit].tolist():
-                a, b = top(own), top(other)
-                if a != b:
-                    root[a] = b
-                    out.append((own, other, 0))
-        if not same:
-            out += [(ids2[i].item(), None, total2[i].item()) for i in np.flatnonzero(total2)]
+        total, total2 = np.zeros(len(ids)), np.zeros(len(ids2))
+        for at in range(0, len(ids), TOGETHER):
+            part = linked[at : at + TOGETHER].astype(np.float64)
+            total[at : at + TOGETHER] = part @ copies2
+            total2 += copies[at : at + TOGETHER] @ part
+        out = [(ids[i].item(), None, int(total[i])) for i in np.flatnonzero(total)]
+        out += [] if same else [(ids2[i].item(), None, int(total2[i])) for i in np.flatnonzero(total2)]
+        every = ids if same else np.concatenate([ids, ids2])
+        out += [(every[a].item(), every[b].item(), 0) for a, b in components(linked, same)]
         return pd.DataFrame(out, columns=["a", "b", "links"]).astype({"a": "Int64", "b": "Int64", "links": "Int64"})
 
     return run
@@ -257,37 +313,39 @@ def _compared(least: float):
 def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row.
 
-    vectors: vec_id, embedding, label. Linked: equal labels, not null, equal lengths and a cosine of `least` or more.
-    Vectors that are null, empty, zero or hold null or non-finite components, and those without a label, link with
-    nothing. Equal vectors of a label are one node with a count. vec_id is taken as unique. An empty table gives none.
+    vectors: vec_id, embedding, label; other columns, whatever their names, are not read. Linked: equal labels, not null,
+    equal lengths and a cosine of `least` or more. Vectors that are null, empty, zero or hold null or non-finite
+    components, and those without a label, link with nothing. Equal vectors of a label are one node with a count of ids.
+    Repeated rows are one vector and get the same result each; of an id with several usable vectors the first by label,
+    length and components counts for all its rows. Null ids stay, with no component. An empty table gives an empty result.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
     good = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("embedding")))
-    good = good.withColumn("dim", F.size("embedding"))
+    good = good.groupBy("vec_id").agg(F.min(F.struct("label", F.size("embedding").alias("dim"), "embedding")).alias("v")).select("vec_id", "v.*")
+    good = materialise(good, "vectors")
     classes = materialise(
         good.groupBy("dim", "label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "classes"
     )
     shards = classes.groupBy("dim", "label").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
     nodes = classes.join(shards, ["dim", "label"]).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")))
     graphs = materialise(
-        nodes.groupBy("dim", "label", "shard").applyInPandas(_built, "dim int, label int, shard long, graph binary"), "graphs"
+        nodes.groupBy("dim", "label", "shard").applyInPandas(_built(least), "dim int, label int, shard long, graph binary"), "graphs"
     )
     # A graph holds its shard's vectors; so two graphs are all that two shards need to query each other.
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
     asked = graphs.join(shards, ["dim", "label"]).select("dim", "label", "shard", "graph", every.alias("other"))
     asked = asked.select("dim", "label", F.least("shard", "other").alias("i"), F.greatest("shard", "other").alias("j"), "graph")
     found = materialise(asked.groupBy("dim", "label", "i", "j").applyInPandas(_compared(least), "a long, b long, links long"), "links")
-    component = connected_components(found.where("b is not null").select("a", "b"))
     counts = found.groupBy("a").agg(F.sum("links").alias("links"))
-    of_class = (
-        classes.join(counts, F.col("vec_id") == F.col("a"), "left")
-        .join(component, F.col("vec_id") == F.col("node"), "left")
-        .select("dim", "label", "embedding", (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("links"),
-                F.coalesce("component", "vec_id").alias("component_id"))
-    )
-    linked = good.join(of_class, ["dim", "label", "embedding"]).select("vec_id", "links", F.col("component_id").alias("c"))
+    own = classes.join(counts, F.col("vec_id") == F.col("a"), "left").select(
+        "dim", "label", "embedding", F.col("vec_id").alias("rep"), (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("links")
+    )
+    # Most vectors have no link and are alone in their class; they need no join.
+    of_id = good.join(own.where("links > 0"), ["dim", "label", "embedding"]).select("vec_id", "rep", "links")
+    component = connected_components(found.where("b is not null").select("a", "b"))
+    of_id = of_id.join(component, F.col("rep") == F.col("node"), "left").select("vec_id", "links", F.coalesce("component", "rep").alias("c"))
     return (
-        rows.select("vec_id").join(linked, "vec_id", "left")
+        rows.select("vec_id").join(of_id, "vec_id", "left")
         .select("vec_id", F.coalesce("links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
         .withColumn("kept", F.col("vec_id") == F.col("component_id"))
     )

@@ -178,7 +178,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = 0.6
             out = b.assign(cell=cells).explode("cell").dropna(subset=["cell"])
             yield pd.DataFrame({"query_id": out["vec_id"], "embedding": out["embedding"], "bound": out["bound"], "list": [c[0] for c in out["cell"]], "block": [c[1] for c in out["cell"]]})
 
-    asked = listed.where("is_query").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    # A stated number of partitions, so that few bytes do not meet in one task; each query's work is large.
+    asked = listed.where("is_query").select("vec_id", "embedding").repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), "vec_id")
+    asked = asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     # Each part of the queries meets each block of a list in a group of its own.
     parts = -(-asked.count() // QUERIES)
     part = F.pmod(F.xxhash64("query_id", F.lit("part")), F.lit(max(1, parts))).cast("int").alias("part")

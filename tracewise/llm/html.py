@@ -1,7 +1,8 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped into lines, one for each block of the page. The lengths of a line's text, links and boilerplate left
-out, are summed over a sliding window; text starts where these sums surge and ends where they dive to nothing.
+Markup is stripped into lines, one for each block of the page. Each line weighs what its text says outside links, nothing
+if it is boilerplate. Weights are summed over a sliding window; text starts where these sums surge and ends where they
+dive to nothing. So a stretch of lines without text of their own, such as a menu of links, ends the text on every page.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewise.llm.shared import give_back, small_batches
+
 WINDOW = 3  #: lines in a window
-SURGE = 60  #: characters of a window from which text starts, on pages that mark no article
+SURGE = 60  #: characters of a window from which text starts, on pages that mark no article; less if no window has as many
 
 _TOKEN = re.compile(r"<!--|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>?")
 _NAMES = re.compile(r"""(?:class|id|role|aria-label|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -29,7 +32,18 @@ BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: A start tag ends an open element of the first group, unless one of the second was opened after it.
+_CELL, _ROW = frozenset(("td", "th")), frozenset(("tr",))
+ENDS = {
+    "li": (frozenset(("li",)), frozenset("ul ol menu dir".split())),
+    "dt": (frozenset(("dt", "dd")), frozenset(("dl",))), "dd": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "option": (frozenset(("option",)), frozenset(("optgroup",))),
+    "td": (_CELL, frozenset(("tr", "table"))), "th": (_CELL, frozenset(("tr", "table"))), "tr": (_ROW, frozenset(("table",))),
+}
+#: Blocks inside a paragraph that leave it open.
+IN_PARAGRAPH = frozenset("br button legend option optgroup caption tbody td tfoot th thead tr body html".split())
 #: Whole words in class, id or role values that name parts outside the article.
 NAMES = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header login"
@@ -45,7 +59,7 @@ _SPACE = re.compile(r"\s+")
 @dataclass
 class Line:
     text: str
-    plain: int  #: characters outside links
+    plain: int  #: characters outside links; all of a heading
     kept: bool  #: outside boilerplate
     article: bool
 
@@ -62,20 +76,67 @@ def _named(attributes: str, article: bool) -> bool:
     return False
 
 
+class _Open:
+    """Open elements: blocks, and within a dropped element those of its name. A dropped element ends with its own end
+    tag, with that of an element round it, or where a start tag implies its end."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.count: dict[str, int] = {}
+        self.at = -1  # the outermost dropped element, -1 if there is none
+        self.loose = False  # whether only its names have dropped it
+
+    def push(self, name: str) -> None:
+        self.names.append(name)
+        self.count[name] = self.count.get(name, 0) + 1
+
+    def pop(self, to: int) -> None:
+        while len(self.names) > to:
+            self.count[self.names.pop()] -= 1
+        if self.at >= len(self.names):
+            self.at = -1
+
+    def last(self, names: frozenset[str], stops: frozenset[str]) -> int:
+        """Place of the innermost element of these names that no element of stops hides, or -1."""
+        if any(self.count.get(n) for n in names):
+            for i in range(len(self.names) - 1, -1, -1):
+                if self.names[i] in names:
+                    return i
+                if self.names[i] in stops:
+                    break
+        return -1
+
+    def implied(self, name: str) -> None:
+        """Ends what the start tag of a block ends."""
+        if name in ENDS and (i := self.last(*ENDS[name])) >= 0:
+            self.pop(i)
+        if name not in IN_PARAGRAPH and self.names and self.names[-1] == "p":
+            self.pop(len(self.names) - 1)
+
+    def close(self, name: str) -> None:
+        if self.count.get(name):
+            i = len(self.names) - 1
+            while self.names[i] != name:
+                if name not in BLOCKS and self.names[i] in BLOCKS:
+                    return  # an inline element's end tag ends no block
+                i -= 1
+            self.pop(i)
+
+
 def lines(page: str) -> list[Line]:
     """The page's blocks in order, with character references decoded and white space made single."""
     out: list[Line] = []
     parts: list[str] = []
     linked = 0
-    drop = 0  # depth of the open boilerplate element's own kind
-    dropped, loose = "", False
+    opened = _Open()
     article, link, at, n = 0, 0, 0, len(page)
 
     def close() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            out.append(Line(text, max(0, len(text) - linked), not drop, article > 0))
+            heading = bool(opened.names) and opened.names[-1] in HEADINGS
+            out.append(Line(text, len(text) if heading else max(0, len(text) - linked), opened.at < 0, article > 0))
         parts.clear()
         linked = 0
 
@@ -110,26 +171,34 @@ def lines(page: str) -> list[Line]:
             link = 0 if closing else 1
         if name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
-            if not closing and loose and not _named(attributes, False):
-                drop = 0  # what a name alone had put aside holds the article
         if name in VOID:
             continue
-        if drop:
-            if name == dropped:
-                drop += -1 if closing else 1
-        elif not closing and name not in ("html", "body", "article", "main"):
-            loose = name not in BOILERPLATE and (name != "header" or article > 0)
-            if not loose or attributes and _named(attributes, article > 0):
+        if closing:
+            if name not in BLOCKS and opened.at >= 0:
+                close()
+            opened.close(name)
+            continue
+        if name in BLOCKS:
+            opened.implied(name)
+        if name in ("article", "main") and opened.at >= 0 and opened.loose and not _named(attributes, False):
+            opened.at = -1  # what a name alone had put aside holds the article
+        drop = False
+        if opened.at < 0 and name not in ("html", "body", "article", "main"):
+            by_kind = name in BOILERPLATE or name == "header" and article == 0
+            drop = by_kind or bool(attributes) and _named(attributes, article > 0)
+            if drop:
                 close()
-                drop, dropped = 1, name
+                opened.at, opened.loose = len(opened.names), not by_kind
+        if drop or name in BLOCKS or opened.at >= 0 and opened.names[opened.at] == name:
+            opened.push(name)
     close()
     return out
 
 
-def spans(length: np.ndarray, surge: int, window: int = WINDOW) -> np.ndarray:
-    """Whether each line lies between a surge and the next dive. length: characters of each line that count. A line's
-    sum is the largest of the windows that hold it; a run of lines whose sums are above 0 is kept from its first text
-    to its last if a window in it reaches `surge`."""
+def spans(length: np.ndarray, surge: float, window: int = WINDOW) -> np.ndarray:
+    """Whether each line lies between a surge and the next dive. length: what each line weighs. A line's sum is the
+    largest of the windows that hold it; a run of lines whose sums are above 0 is kept from its first weight to its last
+    if a window in it reaches `surge`."""
     n = len(length)
     keep = np.zeros(n, bool)
     total = np.convolve(length, np.ones(window), "full")[window - 1 :] if n else length  # of the lines from i on
@@ -149,14 +218,18 @@ def spans(length: np.ndarray, surge: int, window: int = WINDOW) -> np.ndarray:
 
 
 def main_text(page: str | None) -> str:
-    """Text of the article, blocks joined by a newline. On pages with an article or main element any text in it counts."""
+    """Text of the article, blocks joined by a newline. Where an article or main element marks it, lines outside weigh
+    nothing and any weight inside is a surge; elsewhere SURGE characters are one, or the page's largest window if that
+    has fewer. Runs of links with no text between them are no text on any page."""
     found = lines(page or "")
-    marked = any(x.article and x.kept for x in found)
-    length = np.array([len(x.text) if marked and x.article and x.kept else x.plain if x.kept and not marked else 0 for x in found], float)
-    keep = spans(length, 1 if marked else SURGE)
+    marked = any(x.article and x.kept and x.plain for x in found)
+    length = np.array([x.plain if x.kept and (x.article or not marked) else 0 for x in found], float)
+    most = np.convolve(length, np.ones(WINDOW)).max() if len(length) else 0
+    keep = spans(length, 1 if marked else max(1, min(SURGE, most)))
     return "\n".join(x.text for x, k in zip(found, keep, strict=True) if k and x.kept and (x.article or not marked))
 
 
+@give_back
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [main_text(t) for t in batch.column(2).to_pylist()]
@@ -167,8 +240,10 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) for every row. Null or empty html gives an empty text. Repeated rows give repeated
-    results; null ids and urls stay; other columns are not read. Pages of any length are read whole, in one pass."""
+    """(page_id, url, text, n_chars) for every row. Null or empty html gives an empty text, an empty table no rows.
+    Repeated rows give repeated results; null ids and urls stay; other columns, whatever their names, are not read. Pages
+    of any length are read whole, in one pass."""
+    small_batches(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
         _extracted, "page_id long, url string, text string, n_chars long"
     )

@@ -20,6 +20,7 @@ from tracewise.llm.shared import connected_components, give_back, materialise, m
 
 ROWS = 6  #: signature values in a band
 BANDS = 52  #: a pair at 0.8 misses all of them with probability (1 - 0.8**6)**52 = 1.4e-7
+HOT = 10_000  #: texts, at most, whose copies are so many that their classes are broadcast
 BLOCK = 1024  #: documents of a bucket compared at once; larger buckets are compared block by block
 
 _PERMS = ROWS * BANDS // 2
@@ -167,7 +168,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     signed = materialise(
         texts.mapInArrow(_signed(shingle_words), "doc_id long, copy binary, n_shingles long, bands array<long>"), "minmax"
     )
-    of_copies = signed.where("copy is not null and doc_id is not null").groupBy("copy").agg(F.min("doc_id").alias("rep"))
+    of_copies = signed.where("copy is not null and doc_id is not null").groupBy("copy").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
+    of_copies = materialise(of_copies, "copies")
     reps = of_copies.select(F.col("rep").alias("doc_id"))
     entries = materialise(
         signed.select("doc_id", "bands").join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")).distinct(),
@@ -195,10 +197,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     )
     component = connected_components(near)
     classes = of_copies.join(component, F.col("rep") == F.col("node"), "left").select(
-        "copy", F.coalesce("component", "rep").alias("component_id")
+        "copy", "rows", F.coalesce("component", "rep").alias("component_id")
     )
+    own = signed.select("doc_id", "copy", "n_shingles")
+    # Texts with a share of the rows of 1/HOT or more are at most HOT; their rows stay where they are.
+    frequent = materialise(classes.where(F.col("rows") >= max(2, -(-signed.count() // HOT))), "frequent").drop("rows")
+    rest = own.join(F.broadcast(frequent.select("copy")), "copy", "left_anti").join(classes.drop("rows"), "copy", "left")
+    every = own.join(F.broadcast(frequent), "copy").unionByName(rest)
     return (
-        signed.select("doc_id", "copy", "n_shingles").join(classes, "copy", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        every.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("doc_id") == F.col("component_id"))
-    )
+    )

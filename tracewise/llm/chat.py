@@ -120,27 +120,28 @@ class Template:
 def format_turns(turns: DataFrame, key: str, order: list[str], template: Template = Template()) -> DataFrame:
     """One row per key from rows with `role` and `text`: formatted string, segments array<struct<text,loss>> whose texts
     join to it, and loss_spans array<struct<start,end>> in code points. Equal order values go by role, then text; null
-    role or text: empty."""
+    role or text: empty. A repeated row is a turn of its own; an empty table gives none; a null key is a key. The key may have any name but
+    those of the three results; other columns are not read."""
     body, role = template.escape(F.coalesce("text", F.lit(""))), F.coalesce("role", F.lit(""))
     rows = turns.select(
-        F.col(key), F.struct(*order, role.alias("r"), F.coalesce("text", F.lit("")).alias("t")).alias("at"),
-        F.concat(F.lit(template.start), template.escape_role(role), F.lit("\n")).alias("head"), body.alias("body"),
-        (role == template.trained).alias("loss"),
+        F.col(key).alias("_key"),
+        F.struct(
+            F.struct(*order, role.alias("r"), F.coalesce("text", F.lit("")).alias("t")).alias("at"),
+            F.concat(F.lit(template.start), template.escape_role(role), F.lit("\n")).alias("head"), body.alias("body"), (role == template.trained).alias("loss"),
+        ).alias("_turn"),
     )
     size = lambda c: F.char_length(c).cast("long")
-    whole = size("head") + size("body") + len(template.end)
-    w = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("stop", F.sum(whole).over(w) - len(template.end)).select(
-        key, F.struct("at", "head", "body", "loss", (F.col("stop") - size("body")).alias("start"), "stop").alias("turn")
-    )
-    out = rows.groupBy(key).agg(F.array_sort(F.collect_list("turn")).alias("turn"))
-    parts = F.flatten(F.transform("turn", lambda t: F.array(
+    whole = size("_turn.head") + size("_turn.body") + len(template.end)
+    w = Window.partitionBy("_key").orderBy("_turn.at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_stop", F.sum(whole).over(w) - len(template.end))
+    out = rows.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_turn.*", (F.col("_stop") - size("_turn.body")).alias("start"), F.col("_stop").alias("stop")))).alias("_turns"))
+    parts = F.flatten(F.transform("_turns", lambda t: F.array(
         F.struct(t.head.alias("text"), F.lit(False).alias("loss")),
         F.struct(t.body.alias("text"), t.loss.alias("loss")),
         F.struct(F.lit(template.end).alias("text"), F.lit(False).alias("loss")),
     )))
-    spans = F.transform(F.filter("turn", lambda t: t.loss), lambda t: F.struct(t.start.alias("start"), t.stop.alias("end")))
-    return out.select(key, parts.alias("segments"), spans.alias("loss_spans")).select(
+    spans = F.transform(F.filter("_turns", lambda t: t.loss), lambda t: F.struct(t.start.alias("start"), t.stop.alias("end")))
+    return out.select(F.col("_key").alias(key), parts.alias("segments"), spans.alias("loss_spans")).select(
         key, F.array_join(F.transform("segments", lambda s: s.text), "").alias("formatted"), "segments", "loss_spans"
     )
 

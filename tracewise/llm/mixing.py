@@ -64,15 +64,7 @@ def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), doc_id.cast("string")).cast("binary"))
 
 
-def mix(docs: DataFrame, total: int, weights: list[DataFrame | None], levels: list[str], tokens: str, seed: int = 0, max_epochs: int = 1, doc_id: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, the levels, tokens, epoch, budget of the leaf): epochs from 0.
-
-    A leaf gives epochs below budget div tokens whole; of the next it gives documents in seeded order while the tokens
-    before them are fewer than what is left, so by less than one document more than its budget. Documents of null or
-    no tokens are never chosen. Null level values are a name of their own. An empty table gives an empty result.
-    Running sums are made within slices of a leaf by the first digits of the order key and added to the sums of the
-    slices before, so that no task orders a whole leaf.
-    """
+def _mix(docs: DataFrame, total: int, weights: list[DataFrame | None], levels: list[str], tokens: str, seed: int = 0, max_epochs: int = 1, doc_id: str = "doc_id") -> DataFrame:
     rows = docs.select(F.col(doc_id).alias("doc_id"), *levels, F.col(tokens).cast("long").alias("tokens")).where("tokens > 0")
     leaves = rows.groupBy(*levels).agg(F.sum("tokens").alias("tokens"))
     plan = budgets(leaves, total, weights, levels, max_epochs).select(
@@ -92,3 +84,20 @@ def mix(docs: DataFrame, total: int, weights: list[DataFrame | None], levels: li
     part = part.withColumn("before", F.col("before") + F.sum("tokens").over(w) - F.col("tokens")).where("before < rest")
     names = ["doc_id", *levels, "tokens", "epoch", "budget"]
     return whole.select(*names).unionByName(part.select(*names))
+
+
+def mix(docs: DataFrame, total: int, weights: list[DataFrame | None], levels: list[str], tokens: str, seed: int = 0, max_epochs: int = 1, doc_id: str = "doc_id") -> DataFrame:
+    """Rows (doc_id, the levels, tokens, epoch, budget of the leaf): epochs from 0.
+
+    A leaf gives epochs below budget div tokens whole; of the next it gives documents in seeded order while the tokens
+    before them are fewer than what is left, so by less than one document more than its budget. Documents of null or
+    no tokens are never chosen. Null level values are a name of their own. An empty table gives an empty result. Repeated
+    rows, ids or both, are documents of their own; null ids take part. Levels may have any name but those of the results.
+    Running sums are made within slices of a leaf by the first digits of the order key and added to the sums of the
+    slices before, so that no task orders a whole leaf.
+    """
+    own = [f"_level{i}" for i in range(len(levels))]
+    rows = docs.select(F.col(doc_id).alias("doc_id"), *(F.col(x).alias(o) for x, o in zip(levels, own, strict=True)), F.col(tokens).alias("tokens"))
+    given = [w if w is None else w.toDF(o, "weight") for w, o in zip(weights, own, strict=True)]
+    out = _mix(rows, total, given, own, "tokens", seed, max_epochs)
+    return out.select("doc_id", *(F.col(o).alias(x) for x, o in zip(levels, own, strict=True)), "tokens", "epoch", "budget")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewise.llm import ann, chat, hnsw, html, language, minhash, mixing, oracle, pieces, quality, urls
+from tracewise.llm.shared import materialise
 
 #: Weights of the mix; names that are not listed weigh 1.
 DOMAIN_WEIGHTS = {"web": 5, "news": 3, "books": 2}
@@ -85,6 +86,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", domain().alias("domain"), n_words().alias("tokens"))
+    docs = materialise(docs, "sizes")  # words are counted once; all that follows reads numbers
     total = docs.agg(F.sum("tokens")).first()[0] or 0
     given = [weights(spark, DOMAIN_WEIGHTS, "domain"), weights(spark, LANG_WEIGHTS, "lang"), None]
     return mixing.mix(docs, int(total * SHARE), given, ["domain", "lang", "source"], "tokens", SEED, EPOCHS)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tracewise.functions import variants
 from tracewise.functions.hashing import AGENT, NO_ITEMS
 from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work, workflow
-from tracewise.sources import spans
+from tracewise.functions.variants import canonical_nodes
+from tracewise.sources import adapters, scratch, spans
 from tracewise.sources.spans import new_events, with_event_hash
 
 BASE = datetime(2024, 1, 1)
@@ -350,3 +351,33 @@ def test_identities_of_groups_are_hashed_row_by_row(spark, name):
 
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list(pair_hash" not in plan and "collect_list(sha2" not in plan
+
+
+def test_json_of_any_depth(spark):
+    deep = "[" * 500 + "]" * 500
+    too_deep = "[" * 200_000 + "]" * 200_000
+    rows = spark.createDataFrame([(1, deep), (2, too_deep), (3, None), (4, "{")], "i int, t string")
+    got = {r["i"]: r["n"] for r in rows.select("i", F.size(canonical_nodes(F.col("t"))).alias("n")).collect()}
+    assert got[1] == 500 and all(got[i] in (None, -1) for i in (2, 3, 4))
+
+
+def test_text_rules_and_their_parameters(spark):
+    rows = spark.createDataFrame([(t,) for t in ("then drop it", "raindrop it", "my_drop it", "```SQL x", "```duck x", "so Verified.", "unverified")], "t string")
+    t = F.col("t")
+    got = [tuple(r) for r in rows.select(recommend.says_word(t, ("DROP",), "A-Za-z_", r"\s"), recommend.shows_fence(t, ("sql",)), recommend.shows_fence(t, ("sql", "duck")), recommend.says_word(t, ("verified",), "A-Za-z")).collect()]
+    assert got == [(True, False, False, False), (False,) * 4, (False,) * 4, (False, True, True, False), (False, False, True, False), (False, False, False, True), (False,) * 4]
+
+
+def test_clusters_need_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("S", (), {"master": "local-cluster[2,1,1024]", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(RuntimeError):
+        scratch.scratch_dir(Cluster)
+
+
+def test_conversations_of_any_number_lie_in_the_same_days(spark):
+    rows = spark.range(0, 1_000_000, 9_999).selectExpr("id as conv_id", "0L as turn", "'user' as role", "'hi' as text")
+    at = adapters.conversation_events(rows).agg(F.min("event_time").cast("date").cast("string"), F.max("event_time").cast("date").cast("string")).first()
+    assert at[0] >= "2024-01-01" and at[1] < "2024-04-01"

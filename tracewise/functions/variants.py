@@ -52,35 +52,35 @@ def keys(v: Column) -> Column:
     return F.when(is_object(v), F.size(F.json_object_keys(F.to_json(v))))
 
 
-def _walk(value: object, path: str, out: list[tuple[str, str, str | None]]) -> None:
-    if isinstance(value, dict):
-        out.append((path, "OBJECT", None))
-        for k, v in value.items():
-            _walk(v, f"{path}.{k}", out)
-    elif isinstance(value, list):
-        out.append((path, "ARRAY", None))
-        for i, v in enumerate(value):
-            _walk(v, f"{path}[{i}]", out)
-    else:
-        name = {bool: "BOOLEAN", str: "STRING", type(None): "NULL"}.get(type(value), "NUMBER")
-        out.append((path, name, json.dumps(value, ensure_ascii=False)))
+def _walk(value: object) -> list[tuple[str, str, str | None]]:
+    """(path, type, scalar JSON) of every node, from a stack, so that depth does not matter."""
+    out, stack = [], [("$", value)]
+    while stack:
+        path, at = stack.pop()
+        if isinstance(at, dict):
+            out.append((path, "OBJECT", None))
+            stack += [(f"{path}.{k}", v) for k, v in at.items()]
+        elif isinstance(at, list):
+            out.append((path, "ARRAY", None))
+            stack += [(f"{path}[{i}]", v) for i, v in enumerate(at)]
+        else:
+            name = {bool: "BOOLEAN", str: "STRING", type(None): "NULL"}.get(type(at), "NUMBER")
+            out.append((path, name, json.dumps(at, ensure_ascii=False)))
+    return out
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def canonical_nodes(texts: pd.Series) -> pd.Series:
     """Sorted [path, type, scalar JSON] of every node of a JSON text, the root included; key order is no matter, and an
-    empty object differs from an empty array. Null and malformed texts give null. Any depth, in one pass."""
+    empty object differs from an empty array. Null and malformed texts give null, and so do texts that are nested deeper
+    than Python's JSON reader goes (some thousands of levels). Paths grow with the depth, so nodes cost depth times size."""
 
     def nodes(text: str | None) -> list[list[str | None]] | None:
         try:
             value = json.loads(text) if text is not None else None
-        except ValueError:
+        except (ValueError, RecursionError):
             return None
-        if text is None:
-            return None
-        out: list[tuple[str, str, str | None]] = []
-        _walk(value, "$", out)
-        return [list(x) for x in sorted(out, key=lambda x: (x[0], x[1], x[2] or ""))]
+        return None if text is None else [list(x) for x in sorted(_walk(value), key=lambda x: (x[0], x[1], x[2] or ""))]
 
     return texts.map(nodes)
 

@@ -11,6 +11,7 @@ from tracewise.functions.hashing import NO_ITEMS, identity, list_identity
 from tracewise.functions.text import accepted_url, not_blank
 from tracewise.functions.variants import absent, at, is_array, is_object, items, string
 from tracewise.operators.settings import Settings, now
+from tracewise.sources.scratch import materialise
 
 SEARCH = ("retrieval_id", "captured_at", "area_key", "service_name", "query_text")
 K1, B = 1.2, 0.75  #: of BM25
@@ -99,6 +100,7 @@ def search_passages(queries: DataFrame, corpus: DataFrame, k: int = 5, key: str
     vocabulary = asked.select("term").distinct()
     found = docs.select(key, "length", F.explode("terms").alias("term")).join(vocabulary, "term", "left_semi")
     counts = found.groupBy("term", key).agg(F.count("*").cast("double").alias("tf"), F.first("length").alias("length"))
+    counts = materialise(counts, "term-counts")  # read for the terms' documents and for the scores
     df = counts.groupBy("term").agg(F.count("*").cast("double").alias("df"))
     idf = F.ln(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))

@@ -45,7 +45,7 @@ def review_candidates(pairs: DataFrame, config: DataFrame, reviews: DataFrame, s
     """
     revision = settings.prompt_revision if settings else None
     configs = config.where("specification_is_valid").select(*AGENT, "config_hash", F.col("specification").alias("current_config"))
-    rows = in_window(pairs, "feedback_time_utc", settings, "thread_id").join(F.broadcast(configs), list(AGENT))
+    rows = in_window(pairs, "feedback_time_utc", settings, "thread_id").join(configs, list(AGENT))
     data = F.to_json(F.struct("evidence", F.col("current_config").alias("capture_time_configuration")), {"ignoreNullFields": "false"})
     rows = rows.withColumns({
         "model_name": F.lit(policy.model_name), "prompt_revision": F.lit(revision).cast("string"), "schema_revision": F.lit(policy.schema_revision),

@@ -85,7 +85,7 @@ def backlog_report(pairs: DataFrame, config: DataFrame, candidates: DataFrame, s
     """Numbers are null, not zero, while settings are invalid."""
     cap = F.lit(settings.max_new_reviews if settings else 0).cast("long")
     known = config.select(*AGENT, "snapshot_id", "specification_is_valid")
-    rows = in_window(pairs, "feedback_time_utc", settings, "thread_id").join(F.broadcast(known), list(AGENT), "left")
+    rows = in_window(pairs, "feedback_time_utc", settings, "thread_id").join(known, list(AGENT), "left")
     out = one_row(
         status.select("settings_status"),
         rows.agg(F.count("*").alias("pairs_in_selected_window"), F.count_if(F.col("snapshot_id").isNull()).alias("pairs_missing_snapshot"), F.count_if(F.coalesce(~F.col("specification_is_valid"), F.lit(False))).alias("pairs_invalid_snapshot")),
@@ -107,7 +107,7 @@ def review_dashboard(pairs: DataFrame, candidates: DataFrame, inputs: DataFrame,
     cap = F.lit(settings.max_new_reviews if settings else 0).cast("long")
     known = config.select(*AGENT, "specification_is_valid")
     return one_row(
-        pairs.join(F.broadcast(known), list(AGENT), "left").agg(
+        pairs.join(known, list(AGENT), "left").agg(
             F.count("*").alias("pairs_all_history"), F.count_if(F.col("specification_is_valid").isNull()).alias("pairs_missing_settings"),
             F.count_if(F.coalesce(~F.col("specification_is_valid"), F.lit(False))).alias("pairs_with_invalid_settings"),
         ),

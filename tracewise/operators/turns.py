@@ -61,22 +61,22 @@ def conversation_turns(events: DataFrame, tool_prefixes: tuple[str, ...] = TOOL_
     known = turns.where("thread_id is not null")
     w = Window.partitionBy(*AGENT, "thread_id").orderBy("event_epoch_ns", "trace_id")
     known = known.withColumn("turn_no", F.row_number().over(w).cast("long"))
-    unknown = _numbered_by_hour(turns.where("thread_id is null"))
+    unknown = _numbered_by_minute(turns.where("thread_id is null"))
     out = known.unionByName(unknown)
     hash_ = identity(*AGENT, "thread_id", "trace_id", "root_event_hash", "question_event_hash", "event_hashes")
     return out.withColumn("turn_hash", hash_).drop("question_event_hash")
 
 
-def _numbered_by_hour(turns: DataFrame) -> DataFrame:
-    """Row numbers within an agent from row numbers within its hours and the sizes of the hours before."""
-    hour = F.expr("event_epoch_ns div 3600000000000")
-    turns = turns.withColumn("hour", hour)
-    sizes = turns.groupBy(*AGENT, "hour").agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*AGENT).orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
+def _numbered_by_minute(turns: DataFrame) -> DataFrame:
+    """Row numbers within an agent from row numbers within its minutes and the sizes of the minutes before."""
+    minute = F.expr("event_epoch_ns div 60000000000")
+    turns = turns.withColumn("minute", minute)
+    sizes = turns.groupBy(*AGENT, "minute").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*AGENT).orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)
     sizes = sizes.withColumn("before", F.sum("n").over(w) - F.col("n")).drop("n")
-    w = Window.partitionBy(*AGENT, "hour").orderBy("event_epoch_ns", "trace_id")
-    numbered = turns.withColumn("in_hour", F.row_number().over(w)).join(sizes, [*AGENT, "hour"])
-    return numbered.withColumn("turn_no", F.col("before") + F.col("in_hour")).drop("hour", "in_hour", "before")
+    w = Window.partitionBy(*AGENT, "minute").orderBy("event_epoch_ns", "trace_id")
+    numbered = turns.withColumn("in_minute", F.row_number().over(w)).join(sizes, [*AGENT, "minute"])
+    return numbered.withColumn("turn_no", F.col("before") + F.col("in_minute")).drop("minute", "in_minute", "before")
 
 
 def answer_followup_pairs(turns: DataFrame) -> DataFrame:

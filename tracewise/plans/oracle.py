@@ -36,7 +36,7 @@ EVENT_HASH = ident("agent_database", "agent_schema", "agent_name", "event_epoch_
 
 
 def _conversation_events(where: str) -> str:
-    base = f"""SELECT *, 1704067200000000000 + (conv_id * 60 + turn) * 1000000000 + 7 AS ns,
+    base = f"""SELECT *, 1704067200000000000 + (conv_id % 129600 * 60 + turn) * 1000000000 + 7 AS ns,
       CASE WHEN conv_id % 23 = 0 THEN NULL WHEN conv_id % 17 = 0 THEN '0' WHEN conv_id % 19 = 0 THEN '  ' ELSE conv_id::VARCHAR END AS thread
       FROM conversations WHERE {where}"""
     part = lambda n, trace, cols, cond: (
@@ -121,7 +121,7 @@ findings AS (SELECT *, CASE WHEN model_error IS NOT NULL THEN 'ai_error' WHEN NO
     CASE WHEN model_error IS NOT NULL THEN model_error WHEN NOT contract_ok THEN 'fields, values or types are not those required' WHEN NOT quote_found THEN 'the quote is in no message of the evidence' END AS validation_note FROM checked),
 retrievals AS (SELECT *, {listed(AREAS)}[page_id % 8 + 1] AS area_key, 'r' || lpad(page_id::VARCHAR, 8, '0') AS retrieval_id, TIMESTAMP '2024-03-25' + to_minutes(page_id % 10000) AS captured_at,
     page_id % 13 = 0 AS empty, page_id % 13 <> 0 AND page_id % 17 = 0 AS failed, page_id % 13 <> 0 AND page_id % 17 <> 0 AND page_id % 19 = 0 AS odd,
-    page_id % 13 <> 0 AND page_id % 17 <> 0 AND page_id % 19 <> 0 AND page_id % 23 = 0 AS untyped, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, substr(html, 1, 200) AS chunk FROM pages),
+    page_id % 13 <> 0 AND page_id % 17 <> 0 AND page_id % 19 <> 0 AND page_id % 23 = 0 AS untyped, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, coalesce(html, '') AS chunk FROM pages),
 passages AS (SELECT *, 'about ' || area_key AS query_text, {ident('url', 'title', 'chunk')} AS passage_id FROM retrievals WHERE NOT empty AND NOT failed AND NOT odd AND NOT untyped AND starts_with(url, 'https://') AND length(url) <= 2048
     AND NOT regexp_matches(url, '[\\s[:cntrl:]]') AND NOT contains(url, chr(92)) AND length(trim(title, {BLANKS})) > 0 AND length(trim(chunk, {BLANKS})) > 0),
 status AS (SELECT retrieval_id, captured_at, area_key, 'about ' || area_key AS query_text, odd AS malformed_envelope, failed AS has_error, CASE WHEN empty OR failed OR odd THEN 0::BIGINT ELSE 1::BIGINT END AS result_count,
@@ -246,3 +246,54 @@ ORACLE_SQL: dict[str, str] = {
     "stream_capture": q("SELECT span_name, status_code, count(*) AS events, count(DISTINCT event_hash) AS identities FROM web_events GROUP BY span_name, status_code"),
     "stream_activity": "SELECT * FROM (SELECT epoch_us(date_trunc('day', ts)) AS day_us, count(*) AS spans FROM events GROUP BY 1) WHERE day_us + 86400000000 <= (SELECT epoch_us(max(ts)) - 900000000 FROM events)",
 }
+
+_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
+INVALID = "'invalid: one row keyed 1 with usable window, filter, limits and revision is required'"
+_ALL_OK = " AND ".join(f"coalesce({c}, false)" for c in CHECKS.values())
+QUEUE = "group_id, surface, total_occurrences, total_good_responses, eligibility_status, recommendation_id, saved_result_status, queue_status, validation_note"
+PREFLIGHT = ORACLE_SQL["preflight_counts"]
+GUARDED = (
+    ("plain", None, None), ("statement", "executable statement", "executable statement"), ("inside", None, None), ("underscore", "executable statement", "executable statement"), ("under", None, None),
+    ("fence", "executable statement", "executable statement"), ("word", "confirmation wording", None), ("part", None, None), ("mail", "contact", None),
+)
+_TEXT = lambda x: "NULL" if x is None else f"'{x}'"
+_GUARDED = ", ".join(f"('{k}', {_TEXT(g)}, {_TEXT(o)})" for k, g, o in GUARDED)
+_TWICE = lambda name, key, table, where: f"SELECT '{name}' AS object_name, {key} AS identity, 2::BIGINT AS saved_rows FROM {table} WHERE {where}"
+
+ORACLE_SQL |= {
+    "settings_statuses": f"""SELECT 'made' AS "case", count(*) AS settings_rows, count(*) FILTER (WHERE NOT ({_ALL_OK})) AS invalid_settings_rows, count(*) = 1 AND bool_and({_ALL_OK}) AS settings_are_valid,
+        CASE WHEN count(*) = 1 AND bool_and({_ALL_OK}) THEN 'valid' ELSE {INVALID} END AS settings_status FROM {CHECKED}
+      UNION ALL SELECT 'none', count(*), count(*), count(*) = 1, {INVALID} FROM {CHECKED} WHERE review_start < TIMESTAMP '1900-01-01' UNION ALL SELECT 'one', 1, 0, true, 'valid'""",
+    "settings_reports": f"""SELECT 'made' AS "case", epoch_us(min(review_start)) AS start_us, epoch_us(min(review_end)) AS end_us, count(*) AS settings_rows, 8 AS area_rows, true AS areas_complete, count(*) = 1 AND bool_and({CHECKS['keyed_one']}) AS one_settings_row_keyed_one,
+        {', '.join(f"bool_and(coalesce({c}, false)) AS {k}" for k, c in list(CHECKS.items())[1:])}, CASE WHEN count(*) = 1 AND bool_and({_ALL_OK}) THEN 'ready' ELSE 'stop: fix the failing checks' END AS configuration_status FROM {CHECKED}
+      UNION ALL SELECT 'none', NULL, NULL, count(*), 8, true, false, {', '.join('false' for _ in list(CHECKS)[1:])}, 'stop: fix the failing checks' FROM {CHECKED} WHERE review_start < TIMESTAMP '1900-01-01'
+      UNION ALL SELECT 'one', epoch_us(TIMESTAMP '2024-01-01'), epoch_us(TIMESTAMP '2024-03-15'), 1, 8, true, true, {', '.join('true' for _ in list(CHECKS)[1:])}, 'ready'""",
+    "areas_statuses": f"""SELECT 'areas' AS "case", 8::BIGINT AS area_rows, 8::BIGINT AS unique_areas, 8::BIGINT AS valid_rows, true AS areas_are_valid
+      UNION ALL SELECT 'pages', count(*), count(DISTINCT page_id % 9), count(*) FILTER (WHERE page_id % 9 < 8 AND page_id % 5 > 0 AND page_id % 7 > 0 AND length(trim({_TITLE}, {BLANKS})) > 0),
+        count(*) = 8 AND count(DISTINCT page_id % 9) = 8 AND count(*) FILTER (WHERE page_id % 9 < 8 AND page_id % 5 > 0 AND page_id % 7 > 0 AND length(trim({_TITLE}, {BLANKS})) > 0) = 8 FROM pages""",
+    "seeds": q("SELECT 'empty' AS \"case\", area_key, documentation_query FROM areas WHERE NOT EXISTS (SELECT 1 FROM history WHERE captured_at < TIMESTAMP '1990-01-01') UNION ALL SELECT 'filled', area_key, documentation_query FROM areas WHERE NOT EXISTS (SELECT 1 FROM history)"),
+    "spans_from_files": q("SELECT event_hash, span_id, thread_id, agent_answer, event_epoch_ns FROM web_events"),
+    "snapshots_appended": q(f"SELECT {AGENT}, count(*) + 1 AS snapshots, count(DISTINCT snapshot_id) + 1 AS identities, 1::BIGINT AS captured_again FROM history GROUP BY {AGENT}"),
+    "backlog_reports": ORACLE_SQL["backlog_report"] + f" UNION ALL SELECT CASE WHEN count(*) = 1 AND bool_and({_ALL_OK}) THEN 'valid' ELSE {INVALID} END, NULL, NULL, NULL, NULL, NULL, NULL FROM {CHECKED}",
+    "review_queue_invalid": q(f"SELECT {QUEUE} FROM queue UNION ALL SELECT NULL, NULL, 0, 0, 'invalid_settings', NULL, NULL, 'invalid_settings', 'inspect the settings and areas' FROM (SELECT count(*) AS n, bool_and({_ALL_OK}) AS ok FROM {CHECKED}) WHERE NOT (n = 1 AND ok)"),
+    "review_prompts": q(f"SELECT review_id, true AS hash_ok, '{REVIEW_TEMPLATE}' AS template, followup_message, context_turns, response_trace_id, specification AS configuration FROM all_candidates a JOIN config c USING ({AGENT})"),
+    "review_runs": q(f"SELECT review_id, epoch_us({AS_OF}) + (n - 1) // 20 * 86400000000 AS prepared_us, epoch_us({AS_OF}) + (n - 1) // 20 * 86400000000 AS reviewed_us, CASE WHEN length(followup_message) % 3 > 0 THEN length(followup_message) END AS chars, CASE WHEN length(followup_message) % 3 = 0 THEN 'timeout' END AS error FROM (SELECT *, row_number() OVER (ORDER BY feedback_time, review_id) AS n FROM all_candidates) WHERE n <= 40"),
+    "recommendation_runs": q(f"SELECT recommendation_id, agent_name, epoch_us({AS_OF}) AS prepared_us, CASE WHEN agent_name <> 'agent1' THEN epoch_us({AS_OF}) END AS generated_us, CASE WHEN agent_name <> 'agent1' THEN 'true' END AS ok FROM (SELECT *, row_number() OVER (ORDER BY first_feedback, recommendation_id) AS n FROM advised) WHERE n <= 5"),
+    "readiness_refusals": q("SELECT k AS \"case\", count(*) AS inputs, count(*) FILTER (WHERE k = 'same') AS ready FROM advised, unnest(['same', 'config', 'query', 'documents', 'revision', 'service', 'late']) t(k) GROUP BY k"),
+    "text_guards": q(f"SELECT recommendation_id || '|' || k AS recommendation_id, k AS \"case\", true AS shape_ok, CASE WHEN investigate_only THEN of_gap ELSE of_other END AS validation_note, CASE WHEN (CASE WHEN investigate_only THEN of_gap ELSE of_other END) IS NULL THEN 'needs_human_review' ELSE 'invalid_output' END AS review_status FROM advised, (VALUES {_GUARDED}) t(k, of_gap, of_other)"),
+    "duplicate_ids_of_all": q(" UNION ALL ".join((
+        _TWICE("agent_events", "event_hash", "events_m", "substr(event_hash, 1, 2) = '00'"), _TWICE("agent_settings_history", "snapshot_id", "history", "snapshot_id LIKE '%99'"),
+        _TWICE("documentation_retrievals", "retrieval_id", "retrievals", "retrieval_id LIKE '%5'"), _TWICE("answer_review_inputs", "review_id", "review_inputs", "review_id LIKE '%a'"), _TWICE("answer_reviews", "review_id", "replies", "review_id LIKE '%b'"),
+        _TWICE("recommendation_inputs", "recommendation_id", "advice_inputs", "true"), _TWICE("recommendations", "recommendation_id", "advice", "recommendation_id LIKE '%c'"),
+    ))),
+    "raw_review_errors": q("SELECT review_id, epoch_us(reviewed_at) AS reviewed_us, model_error AS error FROM typed WHERE model_error IS NOT NULL ORDER BY reviewed_at DESC, review_id LIMIT 20"),
+    "replies_without_input": q("SELECT count(*) AS review_rows_without_input FROM replies WHERE substr(review_id, 5, 1) IN ('0', '1', '2')"),
+    "stream_traces": "SELECT day_us, exact, true AS close FROM (SELECT epoch_us(date_trunc('day', ts)) AS day_us, count(DISTINCT user_id || '-' || strftime(ts, '%Y%m%d%H')) AS exact FROM events GROUP BY 1) WHERE day_us + 86400000000 <= (SELECT epoch_us(max(ts)) - 900000000 FROM events)",
+}
+_BARE = PREFLIGHT[: PREFLIGHT.rindex(", CASE WHEN")]
+_FROM = " FROM turns WHERE event_time >= TIMESTAMP '{}' AND event_time < TIMESTAMP '{}'"
+_COUNTS = _BARE[_BARE.rindex("SELECT count(*) AS root_turns") + 7 :]
+ORACLE_SQL["preflights"] = q(" UNION ALL ".join((
+    f"SELECT 'window' AS \"case\", {_COUNTS}, CASE WHEN count(*) = 0 THEN 'no_turns' WHEN count(*) FILTER (WHERE is_complete AND thread_id IS NOT NULL) < 2 THEN 'too_few' ELSE 'ready' END AS verdict" + _FROM.format("2024-01-01", "2024-03-15"),
+    f"SELECT 'empty', {_COUNTS}, 'no_turns'" + _FROM.format("2023-01-01", "2023-02-01"), f"SELECT 'invalid', {_COUNTS}, 'invalid_settings' FROM turns WHERE false",
+)))

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime, timedelta
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,19 +128,23 @@ def capture_rerun_is_empty(m: Model) -> DataFrame:
     return reports.count_of(_captured(m, raw, saved), "new_events")
 
 
-@query
-def settings_checks(m: Model) -> DataFrame:
-    """The row checks over settings made of each order."""
+def _made_settings(m: Model) -> DataFrame:
+    """Settings made of each order."""
     o = m.table("orders")
     start = F.col("o_orderdate").cast("timestamp_ntz")
-    made = o.select(
+    return o.select(
         (F.col("o_orderkey") % 7).cast("int").alias("settings_id"), start.alias("review_start"), F.timestamp_add("DAY", F.col("o_custkey") % 120 - 5, start).alias("review_end"),
         F.when(F.col("o_custkey") % 5 == 0, " 0 ").when(F.col("o_custkey") % 5 == 1, "\t").when(F.col("o_custkey") % 5 == 2, " t1 ").alias("thread_filter"),
         (F.col("o_custkey") % 110).cast("int").alias("max_new_reviews"), (F.col("o_orderkey") % 25).cast("int").alias("max_new_recommendations"),
         (F.col("o_custkey") % 1100).cast("int").alias("min_occurrences"), (F.col("o_orderkey") % 800).cast("int").alias("docs_max_age_hours"),
         F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus")).alias("prompt_revision"),
     )
-    checked = settings.checked_settings(made, AS_OF)
+
+
+@query
+def settings_checks(m: Model) -> DataFrame:
+    """The row checks over settings made of each order."""
+    checked = settings.checked_settings(_made_settings(m), AS_OF)
     names = [*settings.checks(AS_OF), "row_is_valid"]
     return checked.agg(F.count("*").alias("settings_rows"), *(F.count_if(c).alias(c) for c in names))
 
@@ -418,3 +427,223 @@ def stream_activity(m: Model) -> DataFrame:
     days = capture.stream_activity(capture.span_stream(m.spark, f"{path}/in")).select(F.unix_micros("day").alias("day_us"), "spans")
     days.writeStream.format("parquet").option("path", f"{path}/days").option("checkpointLocation", f"{path}/c").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return m.spark.read.schema("day_us long, spans long").parquet(f"{path}/days")
+
+
+def _settings_cases(m: Model) -> dict[str, DataFrame]:
+    """The made rows, none of them, and the one valid row."""
+    made = _made_settings(m)
+    return {"made": made, "none": made.where("review_start < timestamp_ntz'1900-01-01'"), "one": m.settings_rows}
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def settings_statuses(m: Model) -> DataFrame:
+    """Of a table of many rows, of an empty one and of a valid one; rows are counted before any filter."""
+    return _union([settings.settings_status(rows, AS_OF).select(F.lit(k).alias("case"), "*") for k, rows in _settings_cases(m).items()])
+
+
+@query
+def settings_reports(m: Model) -> DataFrame:
+    names = ["settings_rows", "area_rows", "areas_complete", "one_settings_row_keyed_one", *list(settings.checks(AS_OF))[1:], "configuration_status"]
+    return _union([
+        settings.settings_report(rows, m.areas, AS_OF).select(F.lit(k).alias("case"), us("review_start", "start_us"), us("review_end", "end_us"), *names)
+        for k, rows in _settings_cases(m).items()
+    ])
+
+
+@query
+def areas_statuses(m: Model) -> DataFrame:
+    """Of the areas and of one made of each page, with titles for descriptions."""
+    area = F.element_at(F.array(*map(F.lit, (*settings.AREAS, "other"))), (F.col("page_id") % 9 + 1).cast("int"))
+    title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
+    made = m.table("pages").select(area.alias("area_key"), F.when(F.col("page_id") % 5 > 0, title).otherwise(" ").alias("area_description"), F.when(F.col("page_id") % 7 > 0, "q").alias("documentation_query"))
+    return _union([settings.areas_status(rows).select(F.lit(k).alias("case"), "*") for k, rows in (("areas", m.areas), ("pages", made))])
+
+
+@query
+def seeds(m: Model) -> DataFrame:
+    """What is added to a table without rows and to one with rows."""
+    tables = {"empty": m.history.where("captured_at < timestamp_ntz'1990-01-01'"), "filled": m.history}
+    return _union([settings.seed_if_empty(t, m.areas).select(F.lit(k).alias("case"), "area_key", "documentation_query") for k, t in tables.items()])
+
+
+@query
+def spans_from_files(m: Model) -> DataFrame:
+    """Raw spans written as JSON lines and read with the declared schema."""
+    path = new_path(m.spark, "spans")
+    adapters.event_spans(m.table("events")).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    rows = spans.readable_events(spans.read_spans(m.spark, path, "json"), ("DB", "FEEDBACK", "web"))
+    return spans.with_event_hash(rows).select("event_hash", "span_id", "thread_id", "agent_answer", "event_epoch_ns")
+
+
+@query
+def snapshots_appended(m: Model) -> DataFrame:
+    """The history after each agent's current settings are captured again."""
+    new = materialise(spans.snapshot(m.config.select(*NAMES, "captured_at", "specification")), "snapshot")
+    rows = m.history.unionByName(new)
+    return rows.groupBy(*NAMES).agg(F.count("*").alias("snapshots"), F.count_distinct("snapshot_id").alias("identities"), F.count_if(F.char_length("snapshot_id") == 36).alias("captured_again"))
+
+
+def _other_window(m: Model) -> settings.Settings:
+    return replace(m.settings, review_start=datetime(2023, 1, 1), review_end=datetime(2023, 2, 1))
+
+
+@query
+def preflights(m: Model) -> DataFrame:
+    """Of the window, of one without events and without valid settings: a row each."""
+    cases = {"window": m.settings, "empty": _other_window(m), "invalid": None}
+    return _union([reports.preflight(m.turns, s).select(F.lit(k).alias("case"), "*") for k, s in cases.items()])
+
+
+@query
+def backlog_reports(m: Model) -> DataFrame:
+    """With valid and with invalid settings: then all numbers are null."""
+    bad = settings.settings_status(_made_settings(m), AS_OF)
+    good = settings.settings_status(m.settings_rows, AS_OF)
+    return _union([reports.backlog_report(m.pairs, m.config, m.candidates, s, status) for s, status in ((m.settings, good), (None, bad))])
+
+
+@query
+def review_queue_invalid(m: Model) -> DataFrame:
+    """The queue while the settings are invalid: one more row, without a group."""
+    bad = settings.settings_status(_made_settings(m), AS_OF).select(F.col("settings_are_valid").alias("ok"))
+    q = recommend.review_queue(m.groups, m.advice_candidates, m.results, bad)
+    return q.select("group_id", "surface", "total_occurrences", "total_good_responses", "eligibility_status", "recommendation_id", "saved_result_status", "queue_status", "validation_note")
+
+
+@query
+def review_prompts(m: Model) -> DataFrame:
+    """Each prompt taken apart again, and whether its hash is that of its bytes."""
+    policy = findings.Policy()
+    data = F.substr("prompt_text", F.lit(len(policy.template) + 1))
+    at_ = lambda path: F.get_json_object(data, path)
+    return m.all_candidates.select(
+        "review_id", (F.sha2("prompt_text", 256) == F.col("prompt_hash")).alias("hash_ok"), F.substr("prompt_text", F.lit(1), F.lit(len(policy.template))).alias("template"),
+        at_("$.evidence.followup_turn.user_question").alias("followup_message"), F.json_array_length(at_("$.evidence.prior_turns")).cast("long").alias("context_turns"),
+        at_("$.evidence.response_trace_id").alias("response_trace_id"), at_("$.capture_time_configuration").alias("configuration"),
+    )
+
+
+def follow_up_scorer(prompt: str) -> str:
+    """A reply that holds the follow-up's length; some calls fail."""
+    said = json.loads(prompt[prompt.index("{") :])["evidence"]["followup_turn"]["user_question"]
+    if len(said) % 3 == 0:
+        raise ValueError("timeout")
+    return json.dumps({"chars": len(said)})
+
+
+@query
+def review_runs(m: Model) -> DataFrame:
+    """Two runs of the review step from empty tables, the second over what the first left: saved replies with their inputs."""
+    cols = ["review_id", "pair_hash", *NAMES, "prompt_hash", "prompt_text"]
+    inputs = m.all_candidates.select(*cols, F.col("feedback_time_utc").alias("prepared_at")).where(F.lit(False))
+    replies = m.spark.createDataFrame([], "review_id string, reviewed_at timestamp_ntz, model_response string")
+    for at_ in (AS_OF, AS_OF + timedelta(days=1)):
+        rows = work.not_saved(m.all_candidates, replies, "review_id").select(*cols, "feedback_time_utc")
+        inputs, replies = workflow.run_reviews(rows, inputs, replies, m.settings.max_new_reviews, at_, follow_up_scorer)
+    saved = replies.join(inputs.select("review_id", "prepared_at"), "review_id")
+    value, error = F.get_json_object("model_response", "$.value.chars").cast("long"), F.get_json_object("model_response", "$.error")
+    return saved.select("review_id", us("prepared_at", "prepared_us"), us("reviewed_at", "reviewed_us"), value.alias("chars"), error.alias("error"))
+
+
+def _fresh(m: Model, inputs: DataFrame, **other: Any) -> DataFrame:
+    now = {"config": m.config, "as_of": AS_OF, "settings": m.settings} | other
+    return recommend.input_readiness(inputs, now["config"], m.areas, m.doc_latest, now["settings"], True, SERVICE, now["as_of"])
+
+
+@query
+def recommendation_runs(m: Model) -> DataFrame:
+    """One run of the recommendation step from empty tables, while the configuration of one agent is no longer current."""
+    none = m.spark.createDataFrame([], "recommendation_id string, generated_at timestamp_ntz, model_response string")
+    cols = ["recommendation_id", "group_id", *NAMES, "surface", "config_hash", "service_name", "documentation_query", "docs_content_hash", "prompt_revision", "instruction_template_hash", "sample_policy", "prompt_hash", "prompt_text"]
+    inputs = m.all_advice.select(*cols, F.col("first_feedback_utc").alias("prepared_at")).where(F.lit(False))
+    current = m.config.where("agent_name <> 'agent1'")
+    inputs, replies = workflow.run_recommendations(m.all_advice, inputs, none, AS_OF, lambda p: json.dumps({"ok": p.startswith("Propose")}), lambda rows: _fresh(m, rows, config=current))
+    done = replies.select("recommendation_id", us("generated_at", "generated_us"), F.get_json_object("model_response", "$.value.ok").alias("ok"))
+    return inputs.select("recommendation_id", "agent_name", us("prepared_at", "prepared_us")).join(done, "recommendation_id", "left")
+
+
+@query
+def readiness_refusals(m: Model) -> DataFrame:
+    """Saved inputs that are as they were, and such as name what is no longer so: how many of each may be sent."""
+    other = F.lit("other")
+    cases = {
+        "same": {}, "config": {"config_hash": other}, "query": {"documentation_query": other}, "documents": {"docs_content_hash": other},
+        "revision": {"prompt_revision": other}, "service": {"service_name": other},
+    }
+    ids = {k: F.concat("recommendation_id", F.lit(f"|{k}")) for k in cases}
+    rows = _union([m.all_advice.withColumns({**changed, "recommendation_id": ids[k]}) for k, changed in cases.items()])
+    rows = materialise(rows.select("recommendation_id", *NAMES, "surface", "config_hash", "documentation_query", "docs_content_hash", "prompt_revision", "service_name"), "inputs")
+    late = rows.where("recommendation_id like '%|same'").withColumn("recommendation_id", F.replace("recommendation_id", F.lit("|same"), F.lit("|late")))
+    ready = _fresh(m, rows).unionByName(_fresh(m, late, as_of=AS_OF + timedelta(days=60))).unionByName(_fresh(m, late, settings=None)).withColumn("ready", F.lit(True))
+    every = rows.unionByName(late).select("recommendation_id").join(ready, "recommendation_id", "left")
+    return every.groupBy(F.substring_index("recommendation_id", "|", -1).alias("case")).agg(F.count("*").alias("inputs"), F.count("ready").alias("ready"))
+
+
+#: What a reply's reasoning says, and the notes on it for a gap and for other areas.
+GUARDED = (
+    ("plain", "look at the table", None, None), ("statement", "then drop it", "executable statement", "executable statement"), ("inside", "a raindrop fell", None, None),
+    ("underscore", "call my_drop it", "executable statement", "executable statement"), ("under", "my_drop it", None, None), ("fence", "```SQL select 1```", "executable statement", "executable statement"),
+    ("word", "It is Verified.", "confirmation wording", None), ("part", "still unverified", None, None), ("mail", "ask a@b", "contact", None),
+)
+
+
+@query
+def text_guards(m: Model) -> DataFrame:
+    """Replies to each input that differ in their reasoning: what the text rules say."""
+    gap, first = F.col("investigate_only"), F.element_at("passages", 1)
+    text = lambda on, off="": F.when(gap, on).otherwise(off)
+    cited = F.array(F.struct(first.url.alias("url"), F.left(first.chunk, F.lit(10)).alias("quote"), F.lit("it").alias("supports")))
+    cases = m.spark.createDataFrame([g[:2] for g in GUARDED], "case string, said string")
+    inputs = m.all_advice.crossJoin(F.broadcast(cases)).withColumn("recommendation_id", F.concat("recommendation_id", F.lit("|"), "case"))
+    inputs = materialise(inputs, "guarded")
+    value = F.struct(
+        F.lit(True).alias("recommendation_warranted"), F.lit("h").alias("headline"), F.col("said").alias("reasoning"), F.lit("look").alias("suggested_change"), F.lit("investigate").alias("change_mode"),
+        F.lit("").alias("displaced_text"), F.lit("rest").alias("preserve_behavior"), F.lit(False).alias("would_regress_good_behavior"), F.lit("low").alias("confidence"),
+        text("look").alias("data_gap_investigation"), text("say so").alias("unknown_data_response_guidance"), cited.alias("citations"),
+    )
+    replies = inputs.select("recommendation_id", settings.now(AS_OF).alias("generated_at"), F.to_json(F.struct(value.alias("value"))).alias("model_response"))
+    return recommend.recommendation_results(replies, inputs).select("recommendation_id", "case", "shape_ok", "validation_note", "review_status")
+
+
+@query
+def duplicate_ids_of_all(m: Model) -> DataFrame:
+    """Identities saved more than once in any of the seven saved tables, some of whose rows are saved again here."""
+    again = lambda df, where: df.unionByName(df.where(where))
+    tables = {
+        "agent_events": (again(m.events.select("event_hash"), "substr(event_hash, 1, 2) = '00'"), "event_hash"), "agent_settings_history": (again(m.history.select("snapshot_id"), "snapshot_id like '%99'"), "snapshot_id"),
+        "documentation_retrievals": (again(m.retrievals.select("retrieval_id"), "retrieval_id like '%5'"), "retrieval_id"), "answer_review_inputs": (again(m.review_inputs.select("review_id"), "review_id like '%a'"), "review_id"),
+        "answer_reviews": (again(m.reviews.select("review_id"), "review_id like '%b'"), "review_id"), "recommendation_inputs": (again(m.advice_inputs.select("recommendation_id"), "true"), "recommendation_id"),
+        "recommendations": (again(m.advice.select("recommendation_id"), "recommendation_id like '%c'"), "recommendation_id"),
+    }
+    return reports.duplicate_report(tables)
+
+
+@query
+def raw_review_errors(m: Model) -> DataFrame:
+    """The twenty newest saved replies that hold an error."""
+    error = F.get_json_object("model_response", "$.error")
+    rows = m.reviews.select("review_id", "reviewed_at", error.alias("error")).where("error is not null")
+    return rows.orderBy(F.desc("reviewed_at"), "review_id").limit(20).select("review_id", us("reviewed_at", "reviewed_us"), "error")
+
+
+@query
+def replies_without_input(m: Model) -> DataFrame:
+    """Saved replies whose inputs are gone, where those of some ids are taken away."""
+    left = m.review_inputs.where("substr(review_id, 5, 1) not in ('0', '1', '2')").select("review_id")
+    return reports.count_of(m.reviews.join(left, "review_id", "left_anti"), "review_rows_without_input")
+
+
+@query
+def stream_traces(m: Model) -> DataFrame:
+    """Settled days of the stream with their approximate number of traces, within a tenth of the exact one or not."""
+    path = _stream_input(m)
+    days = capture.stream_activity(capture.span_stream(m.spark, f"{path}/in"))
+    days.writeStream.format("parquet").option("path", f"{path}/days").option("checkpointLocation", f"{path}/c").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    found = m.spark.read.schema("day timestamp, spans long, traces long").parquet(f"{path}/days")
+    trace = F.concat_ws("-", "user_id", F.date_format("ts", "yyyyMMddHH"))
+    exact = m.table("events").groupBy(F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")).agg(F.count_distinct(trace).alias("exact"))
+    return found.join(exact, "day").select(F.unix_micros("day").alias("day_us"), "exact", (F.abs(F.col("traces") - F.col("exact")) <= F.col("exact") / 10).alias("close"))

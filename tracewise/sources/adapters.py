@@ -9,6 +9,7 @@ from tracewise.functions.hashing import AGENT
 from tracewise.sources.spans import with_event_hash
 
 BASE_NS = 1_704_067_200_000_000_000  #: 2024-01-01 UTC
+CALENDAR = 90 * 24 * 60  #: minutes over which conversations start
 TEXTS = ("span_id", "span_name", "span_type", "thread_id", "message_id", "user_question", "agent_answer", "tool_name", "executed_sql", "chart_definition", "status_code")
 
 
@@ -20,12 +21,14 @@ def conversation_events(conversations: DataFrame) -> DataFrame:
     """A user row opens a trace; the assistant row after it is the trace's root; a system row is a span without a root.
 
     By fixed rules of conv_id and turn some threads are unknown, some answers redacted and some answers have tool spans.
+    Conversations start a minute apart over CALENDAR minutes and then from the first day again, so that the same share
+    of them lies in any window however many there are.
     """
     c, t = F.col("conv_id"), F.col("turn")
     is_answer = F.col("role") == "assistant"
     trace = F.concat(F.lit("c"), c.cast("string"), F.lit("-t"), F.when(is_answer, t - 1).otherwise(t).cast("string"))
     thread = F.when(c % 23 == 0, None).when(c % 17 == 0, "0").when(c % 19 == 0, "  ").otherwise(c.cast("string"))
-    ns = F.lit(BASE_NS) + (c * 60 + t) * 1_000_000_000 + 7
+    ns = F.lit(BASE_NS) + (c % CALENDAR * 60 + t) * 1_000_000_000 + 7
     answer = F.when((c * 7 + t) % 11 == 0, "[redacted]").otherwise(F.col("text"))
 
     def event(n: int, **columns: Column) -> Column:
@@ -83,7 +86,7 @@ def page_retrievals(pages: DataFrame) -> DataFrame:
     p = F.col("page_id")
     area = F.element_at(F.array(*map(F.lit, AREAS)), (p % len(AREAS) + 1).cast("int"))
     title = F.coalesce(F.regexp_extract("html", r"<title>([^<]*)</title>", 1), F.lit(""))
-    result = F.struct(F.col("url").alias("url"), title.alias("title"), F.substring("html", 1, 200).alias("chunk"))
+    result = F.struct(F.col("url").alias("url"), title.alias("title"), F.coalesce("html", F.lit("")).alias("chunk"))
     ok = F.to_json(F.struct(F.array(result).alias("results")))
     response = (
         F.when(p % 13 == 0, F.lit('{"results": []}')).when(p % 17 == 0, F.lit('{"error": "timeout", "results": []}'))

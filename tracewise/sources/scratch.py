@@ -11,14 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
+    """This application's folder in the cluster's shared one (spark.checkpoint.dir), so that one removal clears it. Where
+    none is set, a temporary one in local mode only: on a cluster each executor would write to its own disk."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spark-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
         base = f"file://{path}"
         spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return f"{base}/tracewise-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -30,3 +33,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Removes what this application has written, when no DataFrame that reads it is needed any more; whether there was any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tracewise.sources.spans import SPAN_SCHEMA, new_events, readable_events, with_event_hash
 
 SETTLING = "15 minutes"
+DAY = "event_day"  #: of the saved table's folders
 
 
 def span_stream(spark: SparkSession, path: str, schema: str = SPAN_SCHEMA) -> DataFrame:
@@ -16,19 +17,21 @@ def span_stream(spark: SparkSession, path: str, schema: str = SPAN_SCHEMA) -> Da
 
 
 def stream_capture(spans: DataFrame, table: str, agent: tuple[str, str, str], checkpoint: str) -> StreamingQuery:
-    """Appends each micro-batch's new events to the Parquet table at a path. A replayed batch or an overlapping file adds
-    nothing: the anti-join looks at all that is saved, not at a watermark's memory."""
+    """Appends each micro-batch's new events to the Parquet table at a path, in a folder for each day of theirs. A replayed
+    batch or an overlapping file adds nothing: the anti-join looks at all that is saved, not at a watermark's memory. An
+    event's time is part of its identity, so only the batch's own days are read."""
 
     def append(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        events = with_event_hash(readable_events(batch, agent))
+        events = with_event_hash(readable_events(batch, agent)).withColumn(DAY, F.to_date("event_time"))
+        days = [r[0] for r in events.select(DAY).distinct().collect()]  # calendar days, however many events
         try:
-            saved = spark.read.schema(events.schema).parquet(table)
+            saved = spark.read.schema(events.schema).parquet(table).where(F.col(DAY).isin(days))
         except Exception as e:  # the first batch makes the table
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             saved = events.limit(0)
-        new_events(events, saved).write.mode("append").parquet(table)
+        new_events(events, saved).write.mode("append").partitionBy(DAY).parquet(table)
 
     return spans.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -196,9 +196,9 @@ def lines(page: str) -> list[Line]:
 
 
 def spans(length: np.ndarray, surge: float, window: int = WINDOW) -> np.ndarray:
-    """Whether each line lies between a surge and the next dive. length: what each line weighs. A line's sum is the
-    largest of the windows that hold it; a run of lines whose sums are above 0 is kept from its first weight to its last
-    if a window in it reaches `surge`."""
+    """Whether each line lies between a surge and the next dive. length: what each line weighs. A line's sum is that of the
+    window that starts with it; a run of lines whose sums are above 0 is kept from its first weight to its last if a
+    window in it reaches `surge`."""
     n = len(length)
     keep = np.zeros(n, bool)
     total = np.convolve(length, np.ones(window), "full")[window - 1 :] if n else length  # of the lines from i on

@@ -266,7 +266,8 @@ def predict_texts(docs: DataFrame, model: Crf) -> DataFrame:
 
 
 def labeller(model: Crf, text: str = "text") -> Column:
-    """struct<lang_pred,score> as a column, for filters that keep whole rows where they are."""
+    """struct<lang_pred,score> as a column, for filters that keep whole rows where they are. Declared nondeterministic, as
+    Spark would otherwise push a filter on it below the projection and label each text twice."""
 
     @give_back
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -278,4 +279,4 @@ def labeller(model: Crf, text: str = "text") -> Column:
     def label(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         return run(texts)
 
-    return label(F.col(text))
+    return label.asNondeterministic()(F.col(text))

@@ -139,7 +139,9 @@ def test_pipeline_equals_plain_stages(spark):
     langs, scores = model.predict(rows.text.tolist())
     keep = [x != "und" and s >= corpus_pipeline.LEAST_SCORE for x, s in zip(langs, scores)]
     want = {i: x for i, x, k in zip(rows.doc_id, langs, keep) if k}
-    docs = corpus_pipeline.identify_language(spark, docs, SF).persist()
+    docs = corpus_pipeline.identify_language(spark, docs, SF)
+    assert docs._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1  # each text is labelled once
+    docs = docs.persist()
     assert {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()} == want
 
     rows, labels = docs.toPandas(), table("labels").dropna(subset=["quality"])

@@ -13,6 +13,7 @@ import corpus_pipeline
 from tests.llm.test_text_operators import exact_components
 from tracewise.llm import html, language, mixing, quality
 from tracewise.llm.queries import QUERIES, SEED, domain, model_path, n_words, weights
+from tracewise.llm.shared import BATCH_BYTES, small_batches
 
 SF = "/root/testdata/sf0.001"
 
@@ -191,3 +192,10 @@ def test_pipeline_of_an_empty_table_and_repeated_ids(spark):
             assert len(found) == 2 * len(ids)
         else:
             assert len(found) == len(ids) > 0, name
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    small_batches(spark)
+    sizes = docs.mapInPandas(lambda batches: (pd.DataFrame({"n": [b.text.str.len().sum()]}) for b in batches), "n long").toPandas().n
+    assert sizes.sum() == 40 << 20 and sizes.max() <= BATCH_BYTES + (1 << 20)

@@ -16,13 +16,17 @@ from tracewise.sources.scratch import materialise
 
 
 BATCH_ROWS = 512  #: of an Arrow batch; whole texts are in it, so it bounds what the JVM and a Python worker hold of them
+BATCH_BYTES = 8 << 20  #: from which no further row joins a batch; very long texts travel nearly alone
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of BATCH_ROWS rows at most for what the session plans from now on; a smaller setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+    """Arrow batches of BATCH_ROWS rows and BATCH_BYTES at most, or one row, for what the session plans from now on. A
+    smaller setting of rows stays, and any of bytes that is not Spark's default."""
+    rows, size = (f"spark.sql.execution.arrow.{k}PerBatch" for k in ("maxRecords", "maxBytes"))
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    if spark.conf.get(size, None) == f"{64 << 20}b":
+        spark.conf.set(size, BATCH_BYTES)
 
 
 def slices(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:

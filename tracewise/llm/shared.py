@@ -21,11 +21,11 @@ BATCH_BYTES = 8 << 20  #: from which no further row joins a batch; very long tex
 
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of BATCH_ROWS rows and BATCH_BYTES at most, or one row, for what the session plans from now on. A
-    smaller setting of rows stays, and any of bytes that is not Spark's default."""
+    smaller setting of rows stays, and any of bytes."""
     rows, size = (f"spark.sql.execution.arrow.{k}PerBatch" for k in ("maxRecords", "maxBytes"))
     if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
         spark.conf.set(rows, BATCH_ROWS)
-    if spark.conf.get(size, None) == f"{64 << 20}b":
+    if spark.conf.get(size, None) is None:
         spark.conf.set(size, BATCH_BYTES)
 
 

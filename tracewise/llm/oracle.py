@@ -56,3 +56,40 @@ def near_vectors(least: float) -> str:
     return f"""WITH RECURSIVE good AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
       links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.v) = len(q.v) WHERE list_cosine_similarity(p.v, q.v) >= {least}), {_REACH}
       SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM (SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, least(vec_id, coalesce((SELECT min(to_) FROM reach WHERE node = vec_id), vec_id)) AS component_id FROM embeddings)"""
+
+
+def filter_interactions() -> str:
+    """Every document meets every order here."""
+    letters = "ABCDE"
+    picked = " AND ".join(f"{a}.l <> {b}.l" for i, a in enumerate("vwxyz") for b in "vwxyz"[:i])
+    fails = {
+        "A": "len(w) < 200", "B": "100 * len(list_distinct(w)) < 50 * len(w)", "C": "100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text)",
+        "D": "regexp_matches(text, '[#$%&*|]')", "E": "coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)",
+    }
+    return f"""WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+      flags AS (SELECT part, doc_id, {', '.join(f"CASE WHEN {c} THEN '{f}' ELSE '' END AS {f}" for f, c in fails.items())} FROM texts),
+      said AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+      cells AS (SELECT part, {' || '.join(f'f.{x}' for x in letters)} AS failed, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM flags f LEFT JOIN said USING (doc_id) GROUP BY ALL),
+      letters AS (SELECT unnest(split('{'|'.join(letters)}', '|')) AS l), orders AS (SELECT v.l || w.l || x.l || y.l || z.l AS o FROM letters v, letters w, letters x, letters y, letters z WHERE {picked}),
+      steps AS (SELECT o, step, o[step] AS f, o[1:step - 1] AS before FROM orders, unnest(range(1, 6)) t(step)),
+      met AS (SELECT c.*, s.*, contains(failed, f) AS fails, len(list_filter(string_split(failed, ''), lambda x: x <> '' AND contains(before, x))) > 0 AS gone FROM cells c, steps s),
+      told AS (SELECT part, o AS filter_order, f, step::INT AS step, sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN failed = f THEN n ELSE 0 END)::BIGINT AS unique_fails, sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost FROM met GROUP BY ALL)
+      SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM told"""
+
+
+def source_divergence() -> str:
+    """All kept terms by all groups, and all pairs of them, are rows here."""
+    term = rf"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+    share = lambda n, of, terms: f"1 + (1000000000::HUGEINT * ({n} + 1)) // ({of} + {terms})"
+    rank = "row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank"
+    return f"""WITH docs AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+      said AS (SELECT id, lang, source, unnest({term}) AS term FROM docs), kept AS (SELECT lang, term FROM said GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+      groups AS (SELECT DISTINCT lang, source FROM docs), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang), counts AS (SELECT lang, source, term, count(*) AS n FROM said JOIN kept USING (lang, term) GROUP BY ALL),
+      grid AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, v FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+      p AS (SELECT *, {share('n', 'sum(n) OVER (PARTITION BY lang, source)', 'v')} AS p FROM grid), whole AS (SELECT lang, term, sum(n) AS n, any_value(v) AS v FROM grid GROUP BY ALL),
+      q AS (SELECT lang, term, {share('n', 'sum(n) OVER (PARTITION BY lang)', 'v')} AS q FROM whole),
+      sums AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p)::BIGINT AS value FROM p x JOIN p y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL),
+      pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+      terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+      SELECT lang, source, 'pair' AS part, item, value, {rank} FROM pairs UNION ALL SELECT lang, source, 'term' AS part, item, value, {rank} FROM terms QUALIFY rank <= 200"""

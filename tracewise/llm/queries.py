@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewise.llm import ann, chat, hnsw, html, language, minhash, mixing, oracle, pieces, quality, urls
+from tracewise.llm import ann, chat, divergence, hnsw, html, interactions, language, minhash, mixing, oracle, packing, pieces, quality, urls
 from tracewise.llm.shared import materialise
 
 #: Weights of the mix; names that are not listed weigh 1.
@@ -23,13 +23,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def model_path() -> str:
-    """The tokenizer's file: TOKENIZER_MODEL, or the one of the public_tokenizers package."""
-    if path := os.environ.get("TOKENIZER_MODEL"):
+def model_path(variable: str = "TOKENIZER_MODEL", name: str = "piece_bpe_32k.model") -> str:
+    """A tokenizer's file: what the variable of the environment says, or the one of the public_tokenizers package."""
+    if path := os.environ.get(variable):
         return path
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def fold(doc_id: str, n: int) -> Column:
@@ -114,13 +114,33 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_texts(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = model_path("PACKING_TOKENIZER", "word_bpe_49k.json")
+    pieces_ = materialise(packing.tokenize_documents(read(spark, sf_dir, "documents"), path), "pieces")  # texts are tokenized once
+    numbers = pieces_.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(numbers).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.interactions(interactions.failure_masks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_ann, op3_html, op4_minhash, op5_chat, op6_mixing, op7_language, op8_sentencepiece, op9_embedding_dedup, op10_quality)
+    for f in (
+        op1_url_filters, op2_ann, op3_html, op4_minhash, op5_chat, op6_mixing, op7_language, op8_sentencepiece, op9_embedding_dedup, op10_quality,
+        op11_best_fit_packing, op12_filter_interactions, op13_source_divergence,
+    )
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_minhash": oracle.near_documents(4, 80),
     "op5_chat": oracle.chat_digests(),
     "op6_mixing": oracle.mix(SHARE, EPOCHS, SEED, DOMAIN_WEIGHTS, LANG_WEIGHTS),
     "op9_embedding_dedup": oracle.near_vectors(0.98),
+    "op12_filter_interactions": oracle.filter_interactions(),
+    "op13_source_divergence": oracle.source_divergence(),
 }

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,31 +24,41 @@ def list_identity(items: Column) -> Column:
     return F.sha2(F.to_json(items), 256)
 
 
-def sorted_hash(rows: DataFrame, by: list[str], item: str, around: tuple[str, str, str] = ("", ",", "")) -> DataFrame:
-    """(by, digest, n) of each group: SHA-256 of its sorted items between around's first and last part, joined by the middle
-    one, and its number of rows. by and item: strings. Items are sorted on disk and hashed one by one, so a group of any
-    size is never held as a whole."""
-    first, between, last = (x.encode() for x in around)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, digest, n, held = None, None, 0, False
-
-        def done() -> pa.RecordBatch:
-            digest.update(last)
-            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.string()) for k in key), pa.array([digest.hexdigest()]), pa.array([n])], [*by, "digest", "n"])
-
-        for batch in batches:
-            for *now, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now != key:
-                    if key is not None:
-                        yield done()
-                    key, digest, n, held = now, hashlib.sha256(first), 0, False
-                n += 1
-                if x is not None:
-                    digest.update(between * held + x.encode())
-                    held = True
-        if key is not None:
-            yield done()
-
-    schema = ", ".join([*(f"{c} string" for c in by), "digest string, n long"])
-    return rows.select(*by, item).repartition(*by).sortWithinPartitions(*by, item).mapInArrow(run, schema)
+PREFIX = 4  #: hexadecimal digits of a member's hash that name its leaf: a group has 65,536 leaves at most
+
+
+def _leaf(item: str) -> Column:
+    return F.substr(item, F.lit(1), F.lit(PREFIX)).alias("leaf")
+
+
+def leaf_digests(members: DataFrame, by: list[str], item: str) -> DataFrame:
+    """(by, leaf, n, digest) of groups of members by hashes in `item`: the first level of a Merkle tree of fixed shape.
+
+    A leaf holds the members whose hash begins with it; its digest is the SHA-256 of their sorted hashes, joined by commas.
+    A leaf of a group of ten thousand million members has some 150,000, so no task holds a group. Nulls are no members;
+    repeated members count each; by: columns without nulls.
+    """
+    rows = members.where(F.col(item).isNotNull()).select(*by, _leaf(item), item)
+    sorted_ = F.expr(f"listagg(`{item}`, ',') within group (order by `{item}`)")
+    return rows.groupBy(*by, "leaf").agg(F.count("*").alias("n"), F.sha2(sorted_, 256).alias("digest"))
+
+
+def updated_leaves(leaves: DataFrame, saved: DataFrame, new: DataFrame, by: list[str], item: str) -> DataFrame:
+    """leaf_digests of saved and new members together, from those of the saved ones: only leaves that a new member falls into
+    are hashed again, from the saved members of these leaves; saved groups that get none are not read."""
+    leaf = _leaf(item)
+    touched = new.where(F.col(item).isNotNull()).select(*by, leaf).distinct()
+    of_touched = saved.select(*by, item, leaf).join(touched, [*by, "leaf"], "left_semi").select(*by, item)
+    again = leaf_digests(of_touched.unionByName(new.select(*by, item)), by, item)
+    return leaves.join(touched, [*by, "leaf"], "left_anti").unionByName(again)
+
+
+def root_digests(leaves: DataFrame, by: list[str]) -> DataFrame:
+    """(by, digest, n) of groups from their leaves: the SHA-256 of `leaf:digest` of all leaves in order, joined by commas."""
+    sorted_ = F.expr("listagg(concat(leaf, ':', digest), ',') within group (order by leaf)")
+    return leaves.groupBy(*by).agg(F.sha2(sorted_, 256).alias("digest"), F.sum("n").alias("n"))
+
+
+def members_digest(members: DataFrame, by: list[str], item: str) -> DataFrame:
+    """(by, digest, n) of each group: the identity of all its members in any order."""
+    return root_digests(leaf_digests(members, by, item), by)

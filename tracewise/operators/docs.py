@@ -1,20 +1,18 @@
-"""Saved documentation searches: accepted passages, status, the latest exact search, readiness. And the search itself."""
+"""Saved documentation searches: accepted passages, status, the latest exact search, readiness."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewise.functions.hashing import NO_ITEMS, identity, list_identity
 from tracewise.functions.text import accepted_url, not_blank
 from tracewise.functions.variants import absent, at, is_array, is_object, items, string
 from tracewise.operators.settings import Settings, now
-from tracewise.sources.scratch import materialise
 
 SEARCH = ("retrieval_id", "captured_at", "area_key", "service_name", "query_text")
-K1, B = 1.2, 0.75  #: of BM25
 
 
 def doc_passages(retrievals: DataFrame, prefix: str) -> DataFrame:
@@ -87,29 +85,6 @@ def doc_readiness(areas: DataFrame, latest: DataFrame, settings: Settings | None
     )
 
 
-def search_passages(queries: DataFrame, corpus: DataFrame, k: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(query_id, rank, key, score) of the k best texts for each query by BM25; ties go to the smaller key.
-
-    queries: query_id, query_text; a small table, joined by term, and broadcast only below Spark's own limit. Terms of
-    the corpus that no query asks for are dropped before any shuffle but that of the document lengths, a sum.
-    """
-    terms = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    asked = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("query_text")))).alias("term"))
-    docs = corpus.select(F.col(key), terms(F.col(text)).alias("terms")).withColumn("length", F.size("terms").cast("double"))
-    stats = docs.agg(F.count("*").cast("double").alias("n"), F.avg("length").alias("mean"))
-    vocabulary = asked.select("term").distinct()
-    found = docs.select(key, "length", F.explode("terms").alias("term")).join(vocabulary, "term", "left_semi")
-    counts = found.groupBy("term", key).agg(F.count("*").cast("double").alias("tf"), F.first("length").alias("length"))
-    counts = materialise(counts, "term-counts")  # read for the terms' documents and for the scores
-    df = counts.groupBy("term").agg(F.count("*").cast("double").alias("df"))
-    idf = F.ln(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    scored = counts.join(df, "term").crossJoin(F.broadcast(stats)).select("term", key, weight.alias("w")).join(asked, "term")
-    total = scored.groupBy("query_id", key).agg(F.round(F.sum("w"), 6).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    return total.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("query_id", "rank", key, "score")
-
-
 def responses(found: DataFrame, queries: DataFrame, corpus: DataFrame, captured_at: datetime, service: str, key: str = "doc_id") -> DataFrame:
     """Rows to append to the saved searches: one for each query (area_key, query_id, query_text), results in rank order."""
     hits = found.join(corpus.select(key, "url", "title", "chunk"), key).groupBy("query_id").agg(

@@ -11,7 +11,7 @@ from tracewise.functions.hashing import AGENT, identity
 from tracewise.functions.text import not_blank
 from tracewise.functions.variants import absent, at, is_object, string
 from tracewise.operators.settings import AREAS, Settings, in_window
-from tracewise.operators.work import not_saved
+from tracewise.operators.work import not_saved, ranked
 
 #: What the fields of a review may hold.
 ENUMS = {
@@ -56,6 +56,13 @@ def review_candidates(pairs: DataFrame, config: DataFrame, reviews: DataFrame, s
     return not_saved(rows.withColumn("prompt_hash", F.sha2("prompt_text", 256)), reviews, "review_id")
 
 
+def ranked_candidates(candidates: DataFrame, settings: Settings | None) -> DataFrame:
+    """All candidates with their place in the queue and whether this run's budget reaches it; without valid settings none is
+    within it."""
+    rows = ranked(candidates, ["feedback_time_utc", "review_id"], "review_rank")
+    return rows.withColumn("is_within_budget", F.col("review_rank") <= (settings.max_new_reviews if settings else 0))
+
+
 def queue_counts(candidates: DataFrame, settings: Settings | None) -> DataFrame:
     """One row: eligible reviews, those of this run and those deferred, threads and the span of their follow-ups."""
     cap = F.lit(settings.max_new_reviews if settings else 0).cast("long")

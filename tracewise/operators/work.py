@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewise.sources.scratch import materialise
+
 
 def not_saved(rows: DataFrame, saved: DataFrame, key: str) -> DataFrame:
     """Rows whose key has no saved row yet."""
@@ -22,6 +25,24 @@ def batch(rows: DataFrame, order: list[str], cap: int, rank: str) -> DataFrame:
     return first.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
 
 
+def ranked(rows: DataFrame, order: list[str], rank: str) -> DataFrame:
+    """All rows with their rank (from 1) by `order`, in which no two rows may be equal; no window holds them.
+
+    Rows are dealt out by ranges of the order and numbered within their range, which is written once, as another run of it
+    could cut ranges elsewhere; a rank is the number in the range and the sizes of the ranges before. Only these sizes, one
+    for each range, reach the driver. Columns, of any name but `rank`, are kept; no rows give none.
+    """
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialise(sorted_.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "ranges")
+    in_range = 33  # bits of the number within a partition
+    sizes = placed.groupBy(F.shiftright("at", in_range).alias("range")).agg(F.count("*").alias("n")).orderBy("range").collect()
+    before = dict(zip((r["range"] for r in sizes), accumulate((r["n"] for r in sizes), initial=0)))
+    offset = rows.sparkSession.createDataFrame(list(before.items()), "range long, before long")
+    numbered = placed.withColumn("range", F.shiftright("at", in_range)).join(F.broadcast(offset), "range")
+    number = F.col("before") + F.col("at").bitwiseAND((1 << in_range) - 1) + 1
+    return numbered.select(*(F.col("row")[c].alias(c) for c in rows.columns if c != rank), number.alias(rank))
+
+
 def freeze(rows: DataFrame, path: str) -> DataFrame:
     """rows written once and read again, so that no later action draws ids, times or scores anew."""
     rows.write.mode("errorifexists").parquet(path)

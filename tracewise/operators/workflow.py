@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewise.operators import work
 from tracewise.operators.settings import now
+from tracewise.sources.runlog import RunLog
 from tracewise.sources.scratch import new_path
 
 #: Which of several saved inputs of an id is sent: the first by these.
@@ -25,20 +26,46 @@ def inference_batch(batch: DataFrame, inputs: DataFrame, replies: DataFrame, key
 
 
 def run(candidates: DataFrame, inputs: DataFrame, replies: DataFrame, key: str, order: list[str], cap: int, same: list[str], as_of: datetime, scorer: Callable[[str], str], ready: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(inputs, replies) after one run over the first `cap` candidates.
+    """(inputs, replies) after one run over the first `cap` candidates: the given tables, which are not written again, and
+    what the run adds.
 
     The batch is frozen before its inputs are saved, and what is sent is the saved text. A second run over the same
     tables sends nothing that has a reply, errors included. `ready` is asked of the saved inputs just before sending.
     """
     spark = candidates.sparkSession
+    save = lambda rows, name, old: old.unionByName(work.freeze(rows, new_path(spark, name)))
     batch = work.freeze(candidates.orderBy(*order).limit(cap), new_path(spark, "batch"))
-    prepared = batch.withColumn("prepared_at", now(as_of)).select(*inputs.columns)
-    inputs = work.freeze(work.append_new(prepared, inputs, key), new_path(spark, "inputs"))
-    send = work.freeze(inference_batch(batch, inputs, replies, key, same, ready(inputs) if ready else None), new_path(spark, "send"))
+    inputs = save(_prepared(batch, inputs, key, as_of), "inputs", inputs)
+    return inputs, save(_scored(batch, inputs, replies, key, same, as_of, scorer, ready), "replies", replies)
+
+
+def run_logged(name: str, candidates: DataFrame, inputs: RunLog, replies: RunLog, key: str, order: list[str], cap: int, same: list[str], as_of: datetime, scorer: Callable[[str], str], ready: Callable[[DataFrame], DataFrame] | None = None) -> bool:
+    """As run, over logs, to which it adds its inputs and its replies as the run `name`; False if that run is saved already.
+
+    A run that ended before its replies were published, and is called again, sends the inputs that it has published first;
+    only these and other saved inputs are sent then, and no input is added.
+    """
+    if name in replies.runs():
+        return False
+    own = inputs.read(name).select(key).withColumn("is_own", F.lit(True))
+    first = candidates.join(own, key, "left").orderBy(F.col("is_own").isNull(), *order).limit(cap).drop("is_own")
+    batch = work.freeze(first, new_path(candidates.sparkSession, "batch"))
+    inputs.append(_prepared(batch, inputs.read(), key, as_of), name)
+    return replies.append(_scored(batch, inputs.read(), replies.read(), key, same, as_of, scorer, ready), name)
+
+
+def _prepared(batch: DataFrame, inputs: DataFrame, key: str, as_of: datetime) -> DataFrame:
+    """The batch's inputs that are not saved yet, one for each id."""
+    rows = batch.withColumn("prepared_at", now(as_of)).select(*inputs.columns)
+    return work.not_saved(rows, inputs, key).dropDuplicates([key])
+
+
+def _scored(batch: DataFrame, inputs: DataFrame, replies: DataFrame, key: str, same: list[str], as_of: datetime, scorer: Callable[[str], str], ready: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """The replies to the batch's saved inputs that have none; what is sent is frozen first."""
+    send = work.freeze(inference_batch(batch, inputs, replies, key, same, ready(inputs) if ready else None), new_path(batch.sparkSession, "send"))
     scored = work.envelopes(work.score_rows(send, key, "prompt_text", scorer), key)
     stamp = next(c for c in replies.columns if c not in (key, "model_response"))
-    new = scored.withColumn(stamp, now(as_of)).select(*replies.columns)
-    return inputs, work.freeze(work.append_new(new, replies, key), new_path(spark, "replies"))
+    return work.not_saved(scored.withColumn(stamp, now(as_of)).select(*replies.columns), replies, key).dropDuplicates([key])
 
 
 def run_reviews(candidates: DataFrame, inputs: DataFrame, reviews: DataFrame, cap: int, as_of: datetime, scorer: Callable[[str], str]) -> tuple[DataFrame, DataFrame]:

@@ -60,7 +60,8 @@ IS_TOOL = "(tool_name IS NOT NULL OR executed_sql IS NOT NULL OR chart_definitio
 NODE = lambda field: f"['$.{field}', 'STRING', to_json({field})::VARCHAR]"
 REPLY = ("assessment", "evidence_quote", "issue_type", "observation", "preserve_behavior", "severity", "surface", "suspected_cause")
 MEMBER = "{'review_id': review_id, 'pair_hash': pair_hash, 'review_output_hash': review_output_hash}"
-MEMBERS_HASH = f"sha256(to_json(list(sha256(to_json({MEMBER})::VARCHAR) ORDER BY sha256(to_json({MEMBER})::VARCHAR)))::VARCHAR)"
+MEMBERS = f"list(sha256(to_json({MEMBER})::VARCHAR) ORDER BY sha256(to_json({MEMBER})::VARCHAR))"
+MERKLE = lambda x: f"sha256(array_to_string(list_transform(list_sort(list_distinct(list_transform({x}, lambda h: h[1:4]))), lambda p: p || ':' || sha256(array_to_string(list_filter({x}, lambda h: h[1:4] = p), ','))), ','))"
 IS_EVIDENCE = "((assessment = 'poor' AND issue_type = 'agent_behavior' AND surface NOT IN ('none', 'data')) OR (issue_type = 'reported_data_gap' AND surface = 'data'))"
 SPEC = """CASE WHEN user_id % 4 = 3 THEN '[]' ELSE '{"models": {"orchestration": "m1"}, "instructions": {"response": "Say ' || event_type || '.", "orchestration": "Plan first."}, "props": ' || props || ', "list": [1, {}, []], "k": "' || event_type || '"}' END"""
 
@@ -131,9 +132,9 @@ latest AS (SELECT d.*, coalesce((SELECT sha256(to_json(list(p.passage_id ORDER B
   FROM (SELECT * FROM doc_status QUALIFY row_number() OVER (PARTITION BY area_key ORDER BY captured_at DESC, retrieval_id DESC) = 1) d),
 areas AS (SELECT a AS area_key, CASE WHEN a = 'skills' THEN 'drifted' ELSE 'about ' || a END AS documentation_query FROM unnest({listed(AREAS)}) t(a)),
 seen AS (SELECT *, sha256(to_json([['$', 'OBJECT', NULL], {', '.join(map(NODE, REPLY))}])::VARCHAR) AS review_output_hash FROM findings WHERE validation_status = 'valid'),
-groups_a AS (SELECT {AGENT}, surface, config_hash, count(DISTINCT response_trace_id) AS total_occurrences, count(*) AS total_feedback_pairs, min(feedback_time) AS first_feedback, {MEMBERS_HASH} AS evidence_members_hash,
-    list({MEMBER} ORDER BY (severity <> 'severe'), feedback_time, review_id)[1:3] AS selected FROM seen WHERE {IS_EVIDENCE} GROUP BY {AGENT}, surface, config_hash),
-good AS (SELECT {AGENT}, count(DISTINCT response_trace_id) AS total_good_responses, {MEMBERS_HASH} AS good_members_hash, list({MEMBER} ORDER BY feedback_time, review_id)[1:2] AS selected_good FROM seen WHERE assessment = 'good' GROUP BY {AGENT}),
+groups_a AS (SELECT * EXCLUDE (members), {MERKLE('members')} AS evidence_members_hash FROM (SELECT {AGENT}, surface, config_hash, count(DISTINCT response_trace_id) AS total_occurrences, count(*) AS total_feedback_pairs, min(feedback_time) AS first_feedback, {MEMBERS} AS members,
+    list({MEMBER} ORDER BY (severity <> 'severe'), feedback_time, review_id)[1:3] AS selected FROM seen WHERE {IS_EVIDENCE} GROUP BY {AGENT}, surface, config_hash)),
+good AS (SELECT * EXCLUDE (members), {MERKLE('members')} AS good_members_hash FROM (SELECT {AGENT}, count(DISTINCT response_trace_id) AS total_good_responses, {MEMBERS} AS members, list({MEMBER} ORDER BY feedback_time, review_id)[1:2] AS selected_good FROM seen WHERE assessment = 'good' GROUP BY {AGENT})),
 groups_b AS (SELECT g.*, {ident('g.agent_database', 'g.agent_schema', 'g.agent_name', 'g.surface')} AS group_id, coalesce(good.total_good_responses, 0) AS total_good_responses, good.good_members_hash, good.selected_good, a.documentation_query,
     d.retrieval_id, d.captured_at, d.content_hash, d.documentation_status, g.surface = 'data' AS investigate_only,
     CASE WHEN g.surface = 'instructions.response' THEN json_extract_string(c.specification, '$.instructions.response') WHEN g.surface = 'instructions.orchestration' THEN json_extract_string(c.specification, '$.instructions.orchestration') END AS target_instructions,
@@ -192,19 +193,22 @@ ORACLE_SQL: dict[str, str] = {
     "event_coverage": q(f"SELECT {AGENT}, count(*) AS saved_events, count(DISTINCT trace_id) AS recorded_turns, min(event_epoch_ns) // 1000 AS earliest_us, max(event_epoch_ns) // 1000 AS latest_us FROM events_m GROUP BY {AGENT}"),
     "event_hash": q("SELECT event_hash, trace_id, span_id, span_type, thread_id, event_epoch_ns FROM events_m"),
     "turn_hash": q("SELECT turn_hash, trace_id, unnest(event_hashes) AS event_hash FROM turns"),
-    "pair_hash": q(f"SELECT {AGENT}, sha256(string_agg(pair_hash, ',' ORDER BY pair_hash)) AS all_pairs, count(*) AS pairs FROM pairs GROUP BY {AGENT}"),
+    "pair_hash": q(f"SELECT {AGENT}, {MERKLE('hashes')} AS all_pairs, len(hashes) AS pairs FROM (SELECT {AGENT}, list(pair_hash ORDER BY pair_hash) AS hashes FROM pairs GROUP BY {AGENT})"),
+    "pair_hash_appended": q(f"SELECT {AGENT}, {MERKLE('hashes')} AS all_pairs, len(hashes) AS pairs, len(list_distinct(list_transform(list_filter(hashes, lambda h: h[1] <> '7'), lambda h: h[1:4]))) AS leaves_kept FROM (SELECT {AGENT}, list(pair_hash ORDER BY pair_hash) AS hashes FROM pairs GROUP BY {AGENT})"),
     "activity_profile": q("SELECT epoch_us(date_trunc('day', ts)) AS day_us, count(DISTINCT trace_id) AS traces, count(DISTINCT thread_id) AS threads FROM web_events GROUP BY 1 ORDER BY 1 DESC LIMIT 30"),
     "preflight_counts": q("SELECT count(*) AS root_turns, count(*) FILTER (WHERE is_complete) AS complete_turns, count(*) FILTER (WHERE user_question IS NULL) AS without_question, count(*) FILTER (WHERE NOT is_complete AND user_question IS NOT NULL) AS without_answer, count(*) FILTER (WHERE thread_id IS NULL) AS without_thread, count(*) FILTER (WHERE is_complete AND thread_id IS NOT NULL) AS pairable_turns, count(DISTINCT thread_id) AS threads, count(*) FILTER (WHERE len(tool_evidence) > 0) AS with_tools, CASE WHEN count(*) = 0 THEN 'no_turns' WHEN count(*) FILTER (WHERE is_complete AND thread_id IS NOT NULL) < 2 THEN 'too_few' ELSE 'ready' END AS verdict FROM turns WHERE event_time >= TIMESTAMP '2024-01-01' AND event_time < TIMESTAMP '2024-03-15'"),
     "unjudged_answers": q("SELECT thread_id, turn_no, trace_id, user_question FROM unjudged WHERE thread_id IS NOT NULL"),
     "readable_spans": q("SELECT event_hash, trace_id, span_id, span_name, span_type, thread_id, user_question, agent_answer, status_code, event_epoch_ns FROM web_events"),
     "capture_insert_only": q(f"SELECT event_hash, span_id, span_name, event_epoch_ns FROM web_events WHERE event_id % 3 = 0 AND {CAPTURE}"),
     "capture_rerun_is_empty": q("SELECT 0::BIGINT AS new_events FROM (SELECT count(*) FROM events)"),
+    "captured_in_parts": q("SELECT 'run ' || r AS of, span_name, count(*) AS events FROM (SELECT span_name, CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS r FROM web_events) GROUP BY ALL UNION ALL SELECT 'table', span_name, count(DISTINCT event_hash) FROM web_events GROUP BY span_name"),
     "settings_checks": "SELECT count(*) AS settings_rows, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}" for k, c in CHECKS.items()) + ", count(*) FILTER (WHERE " + " AND ".join(f"({c})" for c in CHECKS.values()) + f") AS row_is_valid FROM {CHECKED}",
     "current_config": q(f"SELECT {AGENT}, snapshot_id, epoch_us(captured_at) AS captured_us, specification_is_valid, config_hash FROM config"),
     "config_instructions": q(f"SELECT {AGENT}, snapshot_id, json_extract_string(specification, '$.instructions.response') AS response_instructions, json_extract_string(specification, '$.instructions.orchestration') AS orchestration_instructions, json_extract_string(specification, '$.models.orchestration') AS orchestration_model FROM config"),
     "config_hash": q(f"SELECT config_hash, count(*) AS snapshots FROM history JOIN ({canonical('history')}) USING (specification) GROUP BY config_hash"),
     "review_candidates": q("SELECT review_id, pair_hash, config_hash, thread_id, epoch_us(feedback_time) AS feedback_us, 'scorer' AS model_name, ' v1 ' AS prompt_revision, '2' AS schema_revision FROM candidates"),
     "review_budget": q("SELECT review_id, row_number() OVER (ORDER BY feedback_time, review_id) AS review_rank FROM candidates ORDER BY feedback_time, review_id LIMIT 20"),
+    "review_ranks": q("SELECT k AS \"case\", review_id, thread_id, row_number() OVER (PARTITION BY k ORDER BY feedback_time, review_id) AS review_rank, k = 'valid' AND row_number() OVER (PARTITION BY k ORDER BY feedback_time, review_id) <= 20 AS is_within_budget FROM candidates, unnest(['valid', 'invalid']) t(k)"),
     "review_queue_counts": q("SELECT count(*) AS eligible_reviews, least(count(*), 20) AS reviews_this_run, count(*) - least(count(*), 20) AS deferred_reviews, count(DISTINCT thread_id) AS threads, epoch_us(min(feedback_time)) AS earliest_us, epoch_us(max(feedback_time)) AS latest_us FROM candidates"),
     "review_inputs_append": q("SELECT review_id IN (SELECT review_id FROM replies) AS has_reply, count(*) AS inputs FROM all_candidates GROUP BY 1"),
     "review_findings": q(f"SELECT review_id, validation_status, validation_note, {FIELDS}, contract_ok, quote_found, epoch_us(reviewed_at) AS reviewed_us FROM findings"),
@@ -278,6 +282,7 @@ ORACLE_SQL |= {
     "review_queue_invalid": q(f"SELECT {QUEUE} FROM queue UNION ALL SELECT NULL, NULL, 0, 0, 'invalid_settings', NULL, NULL, 'invalid_settings', 'inspect the settings and areas' FROM (SELECT count(*) AS n, bool_and({_ALL_OK}) AS ok FROM {CHECKED}) WHERE NOT (n = 1 AND ok)"),
     "review_prompts": q(f"SELECT review_id, true AS hash_ok, '{REVIEW_TEMPLATE}' AS template, followup_message, context_turns, response_trace_id, specification AS configuration FROM all_candidates a JOIN config c USING ({AGENT})"),
     "review_runs": q(f"SELECT review_id, epoch_us({AS_OF}) + (n - 1) // 20 * 86400000000 AS prepared_us, epoch_us({AS_OF}) + (n - 1) // 20 * 86400000000 AS reviewed_us, CASE WHEN length(followup_message) % 3 > 0 THEN length(followup_message) END AS chars, CASE WHEN length(followup_message) % 3 = 0 THEN 'timeout' END AS error FROM (SELECT *, row_number() OVER (ORDER BY feedback_time, review_id) AS n FROM all_candidates) WHERE n <= 40"),
+    "logged_runs": q(f"SELECT 'r' || r AS run, review_id, epoch_us({AS_OF}) + [0, 1, 6][r] * 86400000000 AS prepared_us, epoch_us({AS_OF}) + [0, 5, 6][r] * 86400000000 AS reviewed_us, CASE WHEN length(followup_message) % 3 > 0 THEN length(followup_message) END AS chars, CASE WHEN length(followup_message) % 3 = 0 THEN 'timeout' END AS error FROM (SELECT *, (row_number() OVER (ORDER BY feedback_time, review_id) - 1) // 20 + 1 AS r FROM all_candidates) WHERE r <= 3"),
     "recommendation_runs": q(f"SELECT recommendation_id, agent_name, epoch_us({AS_OF}) AS prepared_us, CASE WHEN agent_name <> 'agent1' THEN epoch_us({AS_OF}) END AS generated_us, CASE WHEN agent_name <> 'agent1' THEN 'true' END AS ok FROM (SELECT *, row_number() OVER (ORDER BY first_feedback, recommendation_id) AS n FROM advised) WHERE n <= 5"),
     "readiness_refusals": q("SELECT k AS \"case\", count(*) AS inputs, count(*) FILTER (WHERE k = 'same') AS ready FROM advised, unnest(['same', 'config', 'query', 'documents', 'revision', 'service', 'late']) t(k) GROUP BY k"),
     "text_guards": q(f"SELECT recommendation_id || '|' || k AS recommendation_id, k AS \"case\", true AS shape_ok, CASE WHEN investigate_only THEN of_gap ELSE of_other END AS validation_note, CASE WHEN (CASE WHEN investigate_only THEN of_gap ELSE of_other END) IS NULL THEN 'needs_human_review' ELSE 'invalid_output' END AS review_status FROM advised, (VALUES {_GUARDED}) t(k, of_gap, of_other)"),

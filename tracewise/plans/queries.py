@@ -12,10 +12,10 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewise.functions.hashing import AGENT, sorted_hash
-from tracewise.operators import config, docs, findings, recommend, reports, settings, turns, work, workflow
+from tracewise.functions.hashing import AGENT, leaf_digests, members_digest, root_digests, updated_leaves
+from tracewise.operators import config, docs, findings, recommend, reports, search, settings, turns, work, workflow
 from tracewise.plans.model import AS_OF, SERVICE, Model
-from tracewise.sources import adapters, spans
+from tracewise.sources import adapters, runlog, saved, spans
 from tracewise.sources.scratch import materialise, new_path
 from tracewise.streaming import capture
 
@@ -84,7 +84,19 @@ def turn_hash(m: Model) -> DataFrame:
 
 @query
 def pair_hash(m: Model) -> DataFrame:
-    return sorted_hash(m.pairs, [*NAMES], "pair_hash").select(*NAMES, F.col("digest").alias("all_pairs"), F.col("n").alias("pairs"))
+    return members_digest(m.pairs, [*NAMES], "pair_hash").select(*NAMES, F.col("digest").alias("all_pairs"), F.col("n").alias("pairs"))
+
+
+@query
+def pair_hash_appended(m: Model) -> DataFrame:
+    """The same identity from the leaves of most pairs, to which the others are appended; and how many leaves stayed."""
+    names = [*NAMES]
+    pairs = materialise(m.pairs.select(*names, "pair_hash"), "pair-hashes")
+    saved, new = pairs.where("substr(pair_hash, 1, 1) <> '7'"), pairs.where("substr(pair_hash, 1, 1) = '7'")
+    leaves = materialise(leaf_digests(saved, names, "pair_hash"), "leaves")
+    after = materialise(updated_leaves(leaves, saved, new, names, "pair_hash"), "leaves")
+    same = leaves.join(after, [*names, "leaf", "n", "digest"]).groupBy(*names).agg(F.count("*").alias("leaves_kept"))
+    return root_digests(after, names).join(same, names).select(*names, F.col("digest").alias("all_pairs"), F.col("n").alias("pairs"), "leaves_kept")
 
 
 @query
@@ -109,23 +121,44 @@ def readable_spans(m: Model) -> DataFrame:
     return e.select("event_hash", "trace_id", "span_id", "span_name", "span_type", "thread_id", "user_question", "agent_answer", "status_code", "event_epoch_ns")
 
 
-def _captured(m: Model, rows: DataFrame, saved: DataFrame) -> DataFrame:
-    return spans.capture(rows, saved, ("DB", "FEEDBACK", "web"), m.settings)
+def _captured(m: Model, rows: DataFrame) -> DataFrame:
+    return spans.window_events(rows, ("DB", "FEEDBACK", "web"), m.settings)
+
+
+def _saved_events(m: Model, like: DataFrame) -> saved.SavedTable:
+    """An empty saved table of events."""
+    return saved.SavedTable(m.spark, new_path(m.spark, "saved"), like.schema, "event_hash", buckets=8)
 
 
 @query
 def capture_insert_only(m: Model) -> DataFrame:
     """An overlapping second capture adds what the first lacked: the first took ids that 3 does not divide."""
-    raw, none = adapters.event_spans(m.table("events")), m.spark.createDataFrame([], "event_hash string, agent_database string, agent_schema string, agent_name string")
-    first = _captured(m, adapters.event_spans(m.table("events").where("event_id % 3 <> 0")), none)
-    return _captured(m, raw.unionByName(raw), first).select("event_hash", "span_id", "span_name", "event_epoch_ns")
+    raw = adapters.event_spans(m.table("events"))
+    first = _captured(m, adapters.event_spans(m.table("events").where("event_id % 3 <> 0")))
+    table = _saved_events(m, first)
+    table.merge(first)
+    return table.merge(_captured(m, raw.unionByName(raw))).select("event_hash", "span_id", "span_name", "event_epoch_ns")
 
 
 @query
 def capture_rerun_is_empty(m: Model) -> DataFrame:
     raw = adapters.event_spans(m.table("events"))
-    saved = spans.with_event_hash(spans.readable_events(raw, ("DB", "FEEDBACK", "web")))
-    return reports.count_of(_captured(m, raw, saved), "new_events")
+    events = spans.with_event_hash(spans.readable_events(raw, ("DB", "FEEDBACK", "web")))
+    table = _saved_events(m, events)
+    table.merge(events)
+    return reports.count_of(table.merge(_captured(m, raw)), "new_events")
+
+
+@query
+def captured_in_parts(m: Model) -> DataFrame:
+    """Four captures of overlapping parts of the events: what each of them added, and the whole table after them."""
+    events = m.table("events")
+    table, added = None, []
+    for i, part in enumerate(("event_id % 4 = 0", "event_id % 4 <= 1", "event_id % 2 = 0", "true")):
+        rows = spans.with_event_hash(spans.readable_events(adapters.event_spans(events.where(part)), ("DB", "FEEDBACK", "web")))
+        table = table or _saved_events(m, rows)
+        added.append(table.merge(rows).groupBy("span_name").agg(F.count("*").alias("events")).select(F.lit(f"run {i}").alias("of"), "*"))
+    return _union([*added, table.rows().groupBy("span_name").agg(F.count_distinct("event_hash").alias("events")).select(F.lit("table").alias("of"), "*")])
 
 
 def _made_settings(m: Model) -> DataFrame:
@@ -181,6 +214,13 @@ def review_budget(m: Model) -> DataFrame:
     return rows.select("review_id", F.col("review_rank").cast("long").alias("review_rank"))
 
 
+@query
+def review_ranks(m: Model) -> DataFrame:
+    """The place of every candidate in the queue, with valid settings and without."""
+    rows = m.candidates.select("feedback_time_utc", "review_id", "thread_id")
+    return _union([findings.ranked_candidates(rows, s).select(F.lit(k).alias("case"), "review_id", "thread_id", "review_rank", "is_within_budget") for k, s in (("valid", m.settings), ("invalid", None))])
+
+
 @query
 def review_queue_counts(m: Model) -> DataFrame:
     return findings.queue_counts(m.candidates, m.settings).select("eligible_reviews", "reviews_this_run", "deferred_reviews", "threads", us("earliest_followup_utc", "earliest_us"), us("latest_followup_utc", "latest_us"))
@@ -246,7 +286,7 @@ def doc_alignment(m: Model) -> DataFrame:
 def search_topk(m: Model) -> DataFrame:
     """The best five documents for each benchmark text."""
     queries = m.table("benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
-    return docs.search_passages(queries, m.table("documents"))
+    return search.search_passages(queries, m.table("documents"))
 
 
 @query
@@ -404,7 +444,7 @@ def search_statuses(m: Model) -> DataFrame:
     queries = m.areas.select("area_key", F.col("area_key").alias("query_id"), F.regexp_replace("area_key", "[._]", " ").alias("query_text"))
     queries = queries.withColumn("query_text", F.concat("query_text", F.lit(" the of and")))
     corpus = m.table("documents").select("doc_id", "text", F.concat(F.lit("https://d/"), F.col("doc_id").cast("string")).alias("url"), F.lit("t").alias("title"), F.col("text").alias("chunk"))
-    found = docs.search_passages(queries, corpus)
+    found = search.search_passages(queries, corpus)
     saved = materialise(docs.responses(found, queries, corpus, AS_OF, SERVICE), "responses")
     passages = docs.doc_passages(saved, "https://d/")
     status = docs.doc_status(saved, passages).select("retrieval_id", "documentation_status")
@@ -549,6 +589,33 @@ def review_runs(m: Model) -> DataFrame:
     return saved.select("review_id", us("prepared_at", "prepared_us"), us("reviewed_at", "reviewed_us"), value.alias("chars"), error.alias("error"))
 
 
+@query
+def logged_runs(m: Model) -> DataFrame:
+    """Three runs of the review step over logs of runs. The second one ends when its inputs are published and its replies are
+    half written; it is called again four days later, and once more after it is done. Replies with the runs that hold them."""
+    cols = ["review_id", "pair_hash", *NAMES, "prompt_hash", "prompt_text"]
+    path = new_path(m.spark, "logs")
+    schemas = {
+        "inputs": m.all_candidates.select(*cols, F.col("feedback_time_utc").alias("prepared_at")).schema,
+        "replies": m.spark.createDataFrame([], "review_id string, reviewed_at timestamp_ntz, model_response string").schema,
+    }
+    inputs, replies = (runlog.RunLog(m.spark, f"{path}/{k}", schema) for k, schema in schemas.items())
+    lost = runlog.RunLog(m.spark, f"{path}/lost", schemas["replies"])
+
+    def run(name: str, days: int, to: runlog.RunLog = replies) -> bool:
+        queue = work.not_saved(m.all_candidates, replies.read(), "review_id").select(*cols, "feedback_time_utc")
+        return workflow.run_logged(name, queue, inputs, to, "review_id", ["feedback_time_utc", "review_id"], m.settings.max_new_reviews, [*NAMES], AS_OF + timedelta(days=days), follow_up_scorer)
+
+    run("r1", 0)
+    run("r2", 1, lost)
+    replies.write(lost.read(), "r2")
+    done = [run("r2", 5), run("r2", 9), run("r3", 6)]
+    assert done == [True, False, True]
+    held = _union([replies.read(r).withColumn("run", F.lit(r)) for r in replies.runs()]).join(inputs.read().select("review_id", "prepared_at"), "review_id")
+    value, error = F.get_json_object("model_response", "$.value.chars").cast("long"), F.get_json_object("model_response", "$.error")
+    return held.select("run", "review_id", us("prepared_at", "prepared_us"), us("reviewed_at", "reviewed_us"), value.alias("chars"), error.alias("error"))
+
+
 def _fresh(m: Model, inputs: DataFrame, **other: Any) -> DataFrame:
     now = {"config": m.config, "as_of": AS_OF, "settings": m.settings} | other
     return recommend.input_readiness(inputs, now["config"], m.areas, m.doc_latest, now["settings"], True, SERVICE, now["as_of"])

@@ -51,9 +51,14 @@ def new_events(batch: DataFrame, saved: DataFrame) -> DataFrame:
     return batch.dropDuplicates(on).join(saved.select(*on), on, "left_anti")
 
 
+def window_events(spans: DataFrame, agent: tuple[str, str, str], settings: Settings | None) -> DataFrame:
+    """The events of a capture: the window as literals at the scan, columns and identities."""
+    return with_event_hash(readable_events(in_window(spans, "ts", settings), agent))
+
+
 def capture(spans: DataFrame, saved: DataFrame, agent: tuple[str, str, str], settings: Settings | None) -> DataFrame:
-    """The whole capture step: the window as literals at the scan, columns, identities, and what is new."""
-    return new_events(with_event_hash(readable_events(in_window(spans, "ts", settings), agent)), saved)
+    """The whole capture step over a table of any layout: the window's events that are not among its rows."""
+    return new_events(window_events(spans, agent, settings), saved)
 
 
 def snapshot(specs: DataFrame) -> DataFrame:

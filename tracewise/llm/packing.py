@@ -52,7 +52,7 @@ class PartTable(dict):
 
     OVERHEAD = 220
 
-    def __init__(self, file: str, limit: int = 16_000_000) -> None:
+    def __init__(self, file: str, limit: int = 40_000_000) -> None:
         from tokenizers import Tokenizer
 
         said = json.loads(file)

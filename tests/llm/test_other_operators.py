@@ -71,11 +71,7 @@ def test_mined_rules_equal_brute_force(spark):
     taught = pages.join(labels, "page_id").select(tokens(), "verdict")
     sets = [(frozenset(r["tokens"]), r["verdict"]) for r in taught.collect()]
     for how in ((0.02, 0.6, 5, 1.1), (0.05, 0.5, 12, 1.05)):
-        urls_combined, urls.COMBINED = urls.COMBINED, 12
-        try:
-            found = urls.mine_rules(taught, *how).collect()
-        finally:
-            urls.COMBINED = urls_combined
+        found = urls.mine_rules(taught, *how).collect()
         want = brute_force_rules(sets, *how)
         assert {v for _, v in want} == {"block", "allow"} and any(len(k) > 1 for k, _ in want)
         got = {(tuple(r["needs"]), r["verdict"]): (r["confidence"], r["support"]) for r in found}
@@ -91,6 +87,35 @@ def test_mined_rules_equal_brute_force(spark):
     assert "block" in {r["verdict"] for r in judged}
 
 
+def test_common_tokens_of_long_urls_combine(spark):
+    """A and B are the commonest of nine to eleven frequent tokens of each row, and only both of them mean block."""
+    rng, made = np.random.default_rng(1), []
+    for i in range(600):
+        a, b = i % 2, i // 2 % 2
+        rest = [f"t{k}{rng.integers(0, 3)}" for k in range(9)]
+        made.append((["a"] * a + ["b"] * b + rest, "block" if a and b else "allow"))
+    taught = spark.createDataFrame(made, "tokens array<string>, verdict string")
+    found = {(tuple(r["needs"]), r["verdict"]): (r["confidence"], r["support"]) for r in urls.mine_rules(taught, support=0.1).collect()}
+    assert found[("a", "b"), "block"] == (1.0, 0.25)
+    assert (("a", "b"), "block") in {(tuple(r["needs"]), r["verdict"]) for r in urls.mine_rules(taught).collect()}
+
+
+def test_tokens_of_the_same_rows_are_one_item(spark):
+    """Fifty tokens in all rows of a site: each of them is a rule by itself, none of their combinations is one."""
+    rows = [([f"s{k}" for k in range(50)] + ["x"] * (i % 2), "block") for i in range(20)] + [(["other"], "allow")] * 30
+    taught = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    found = {(tuple(r["needs"]), r["verdict"]) for r in urls.mine_rules(taught, least_rows=10).collect()}
+    assert found == {((f"s{k}",), "block") for k in range(50)} | {(("x",), "block"), (("other",), "allow")}
+
+
+def test_url_filters_of_odd_tables(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x", "v", "t"), (None, "http://b.org/", "v", "t"), (3, None, "v", "t"), (3, None, "v", "t")], "page_id long, url string, verdict string, tokens string")
+    labels = spark.createDataFrame([(1, "block"), (None, "block")], "page_id long, verdict string")
+    got = sorted(map(str, ((r["page_id"], r["host"], r["rule"], r["verdict"]) for r in urls.judge_urls(pages, labels).collect())))
+    assert got == sorted(map(str, [(1, "a.com", None, "allow"), (None, "b.org", "org/", "allow"), (3, "", None, "allow"), (3, "", None, "allow")]))
+    assert urls.judge_urls(pages.limit(0), labels).count() == 0 and urls.judge_urls(pages, labels.limit(0)).count() == 4
+
+
 def test_the_end_of_a_long_url_is_judged(spark):
     middle = "/".join(f"part{i}" for i in range(40))
     rows = [(i, f"http://a.b.c.d.e.f{i % 5}.net/{middle}/{i}/{'bad' if i % 3 == 0 else 'fine'}/x{'y' * 5000 if i == 9 else ''}", "block" if i % 3 == 0 else "allow") for i in range(90)]

@@ -1,8 +1,8 @@
 """URL filters: given rules by host and path, and association rules mined from labelled URLs.
 
-Spark's FP-growth mines combinations of URL tokens that come with a label. They are counted on all labelled URLs, pruned by
-support, confidence and lift, and filed in an inverted index under their rarest token; a URL looks up its tokens there and
-keeps the rules whose tokens it all has.
+Spark's FP-growth mines combinations of URL tokens that come with a label, from all frequent tokens of all labelled URLs.
+Rules are pruned by support, confidence and lift, and filed in an inverted index under their rarest token; a URL looks up its
+tokens there and keeps the rules whose tokens it all has.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from tracewise.llm.shared import materialise
 
 SUPPORT, LEAST_ROWS, CONFIDENCE = 0.004, 12, 0.65
 LIFT = 1.1  #: by which a rule's confidence has to exceed the share of its verdict; else it says what is known without it
-COMBINED = 8  #: frequent tokens of a URL, the rarest, that enter combinations; each frequent token is a candidate by itself
 BROADCAST_RULES, BROADCAST_CHARS = 50_000, 8_000_000  #: rules or tokens of at most this number and length are broadcast
 LABEL = "label="
 
@@ -73,13 +72,24 @@ def meeting(rows: DataFrame, index: DataFrame) -> DataFrame:
     return rows.select("*", F.explode("tokens").alias("token")).join(index, "token").where(F.size(F.array_except("needs", "tokens")) == 0).drop("token")
 
 
+def frequent_items(token: DataFrame, least: float) -> DataFrame:
+    """(item, tokens) of the tokens in `least` rows or more; token: row (distinct numbers), token, each once a row.
+
+    Tokens that the very same rows hold, such as the parts of one host, are one item, named by the first of them: a
+    combination with two of them says what it says with one. Sets of rows are compared by their sizes and 128 bits.
+    """
+    of = token.groupBy("token").agg(F.count("*").alias("rows"), F.expr("bit_xor(xxhash64(row))").alias("x"), F.expr("bit_xor(xxhash64(row, 'y'))").alias("y"))
+    same = of.where(F.col("rows") >= least).groupBy("rows", "x", "y").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    return same.select(F.element_at("tokens", 1).alias("item"), "tokens")
+
+
 def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, least_rows: int = LEAST_ROWS, lift: float = LIFT) -> DataFrame:
     """(needs array<string>, verdict, confidence, support) from rows of tokens and verdict (block or allow).
 
     A rule holds in `support` of the rows and in `least_rows` at least, is as sure as `confidence` and surer than the share
     of its verdict by `lift`. Of two rules for one verdict of which one needs all that the other needs, only the shorter
-    is kept unless the longer is surer. Candidates are all frequent tokens and, by FP-growth, the frequent combinations of
-    each row's COMBINED rarest ones; all of them are counted over all rows. No rows give no rules.
+    is kept unless the longer is surer. All combinations of all frequent tokens are candidates, and all rows are counted;
+    no combination is lost by its length or its tokens' number. No rows give no rules.
     """
     spark = labelled.sparkSession
     rows = labelled.where("verdict is not null").select(F.monotonically_increasing_id().alias("row"), F.array_distinct("tokens").alias("tokens"), "verdict")
@@ -90,30 +100,40 @@ def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
         return spark.createDataFrame([], "needs array<string>, verdict string, confidence double, support double")
     least = max(support * n, least_rows)
     token = rows.select("row", "verdict", F.explode("tokens").alias("token"))
-    frequent = materialise(token.groupBy("token").agg(F.count("*").alias("rows")).where(F.col("rows") >= least), "tokens")
+    items = materialise(frequent_items(token, least), "items")
+    item_of = items.select("item", F.explode("tokens").alias("token"))
     # As many as a URL has tokens, divided by the support, at most.
-    if _small(frequent, F.col("token")):
-        frequent = F.broadcast(frequent)
-    rarest = F.slice(F.array_sort(F.collect_list(F.struct("rows", "token"))), 1, COMBINED)
-    items = token.join(frequent, "token").groupBy("row", "verdict").agg(rarest.alias("t"))
-    items = materialise(items.select(F.concat(F.transform("t", lambda x: x.token), F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items")), "items")
-    found = frequent.select(F.array("token").alias("needs"))
-    if baskets := items.count():
-        # Half a row less, as FP-growth rounds the product of share and rows up.
-        sets = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / baskets)).fit(items).freqItemsets
-        is_label = lambda x: x.startswith(LABEL)
-        sets = sets.where(F.exists("items", is_label) & (F.size("items") > 2))
-        found = found.unionByName(sets.select(F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("needs")).distinct())
-    held = meeting(rows.select("tokens", "verdict"), filed(found)).groupBy("needs", "verdict").agg(F.count("*").alias("rows"))
-    held = materialise(held, "held")
+    if _small(item_of, F.col("token")):
+        item_of = F.broadcast(item_of)
+    baskets = token.join(item_of, "token").groupBy("row", "verdict").agg(F.concat(F.collect_set("item"), F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
+    baskets = materialise(baskets.select("items"), "baskets")
+    if not (held := baskets.count()):
+        return spark.createDataFrame([], "needs array<string>, verdict string, confidence double, support double")
+    # Half a row less, as FP-growth rounds the product of share and rows up.
+    sets = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / held)).fit(baskets).freqItemsets
+    is_label = lambda x: x.startswith(LABEL)
+    needs = F.array_sort(F.filter("items", lambda x: ~is_label(x)))
+    verdict = F.substring(F.get(F.filter("items", is_label), 0), len(LABEL) + 1, 1 << 30)
+    sets = materialise(sets.select(needs.alias("needs"), verdict.alias("verdict"), F.col("freq").alias("rows")).where(F.size("needs") > 0), "frequent-sets")
+    # What holds with a label often enough does so without it, so both counts are there.
+    rules = sets.where("verdict is not null").join(sets.where("verdict is null").select("needs", F.col("rows").alias("all")), "needs")
     of_all = F.create_map(*[F.lit(x) for v, m in sizes.items() for x in (v, m / n)])
-    rules = held.join(held.groupBy("needs").agg(F.sum("rows").alias("all")), "needs").where(F.col("rows") >= least)
     rules = rules.select("needs", "verdict", (F.col("rows") / F.col("all")).alias("confidence"), (F.col("rows") / n).alias("support"))
     rules = materialise(rules.where((F.col("confidence") >= confidence) & (F.col("confidence") >= lift * of_all[F.col("verdict")])), "rules")
     longer = rules.where(F.size("needs") > 1).select(F.col("needs").alias("tokens"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
     idle = meeting(longer, filed(rules)).where((F.col("verdict") == F.col("v")) & (F.size("needs") < F.size("tokens")) & (F.col("confidence") >= F.col("c")))
     idle = idle.select(F.col("tokens").alias("needs"), "verdict").distinct()
-    return rules.join(idle, ["needs", "verdict"], "left_anti")
+    return _of_tokens(rules.join(idle, ["needs", "verdict"], "left_anti"), items)
+
+
+def _of_tokens(rules: DataFrame, items: DataFrame) -> DataFrame:
+    """rules of items as rules of tokens: one for each choice of a token of each item."""
+    each = rules.select("needs", F.explode("needs").alias("item")).distinct().join(items, "item")
+    choices = each.groupBy("needs").agg(F.collect_list("tokens").alias("choices"))
+    none = F.array(F.array().cast("array<string>"))
+    chosen = F.aggregate("choices", none, lambda have, more: F.flatten(F.transform(have, lambda h: F.transform(more, lambda t: F.concat(h, F.array(t))))))
+    by_needs = choices.select("needs", F.explode(chosen).alias("chosen"))
+    return rules.join(by_needs, "needs").select(F.array_sort("chosen").alias("needs"), "verdict", "confidence", "support")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
@@ -79,12 +80,91 @@ def test_dropped_elements_end_where_html_ends_them(page, text):
     assert html.main_text(page) == text
 
 
-def test_op3_query(spark):
-    got, pages = QUERIES["op3_html"](spark, SF).toPandas(), table("pages")
-    want = {r.page_id: (r.url, html.main_text(r.html)) for r in pages.itertuples()}
+class PlainReader(HTMLParser):
+    """Blocks of the article with the standard library's parser: (text, characters outside links)."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.found, self.parts, self.inside, self.skip, self.linked = [], [], False, 0, 0
+        self.feed(page or "")
+        self.close()
+        self.end()
+
+    def end(self):
+        text = " ".join("".join(t for t, _ in self.parts).split())
+        if text and self.inside:
+            self.found.append((text, len("".join(t for t, linked in self.parts if not linked).split())))
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.end()
+        self.inside |= tag == "article"
+        self.skip += tag in ("script", "style")
+        self.linked += tag == "a"
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.end()
+        self.inside &= tag != "article"
+        self.skip -= tag in ("script", "style")
+        self.linked -= tag == "a"
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.parts.append((data, self.linked))
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_op3_query(spark, sf):
+    """Every page, against another parser; lines of the article are cut at window sums of nothing, as brute_spans does."""
+    folder = f"/root/testdata/{sf}"
+    got, pages = QUERIES["op3_html"](spark, folder).toPandas(), pd.read_parquet(f"{folder}/pages.parquet")
+    want = {}
+    for r in pages.itertuples():
+        found = PlainReader(r.html).found
+        keep = brute_spans([plain for _, plain in found], 1, 3)
+        want[r.page_id] = r.url, "\n".join(t for (t, _), k in zip(found, keep, strict=True) if k)
     assert len(got) == len(pages) and all((r.url, r.text) == want[r.page_id] and r.n_chars == len(r.text) for r in got.itertuples())
 
 
+_MENU = "".join(f"<li><a href=/{i}>Entry number {i}</a></li>" for i in range(6))
+_SAID = "The text says a thing or two. " * 4
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # Links: a lone linked paragraph is text, an unclosed link ends with its line, a list of links is the article if there is no more.
+        ("<article><p><a href=x>See the full report.</a></p><p>Text.</p><p><a href=y>More</a></p></article>", "See the full report.\nText.\nMore"),
+        ("<article><p>One <a href=x>y</p><p>The rest of it.</p><p>More.</p><p>And more.</p></article>", "One y\nThe rest of it.\nMore.\nAnd more."),
+        ("<article>One <a href=x>y<p>The rest.<p>And <a href=z>more</a>.</article>", "One y\nThe rest.\nAnd more."),
+        ("<article><p>One <a href=x>y</p></a><p>Two.</article>", "One y\nTwo."),
+        ("<article><ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul></article>", "a\nb\nc"),
+        # Names: with words of their own they are the text's.
+        ('<article><p class="search-tips">Tips.</p><div class="notice-board">Board.</div><p id="comments-on-budget">Budget.</p></article>', "Tips.\nBoard.\nBudget."),
+        ('<article><div class="ad-box">Buy</div><p>Text.</p><div class="related-posts">More</div><section id="comments-area2">Nice!</section></article>', "Text."),
+        ('<div class="search-box">Find</div><p class="header-note">Noted.</p>', "Noted."),
+    ],
+)
+def test_links_and_names(page, text):
+    assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div>{_MENU}</div><p>{_SAID}</p><div>{_MENU}</div>", _SAID.strip()), (f"<p>{_SAID}</p><p>Short.</p><ul>{_MENU}</ul><p>Imprint.</p>", f"{_SAID.strip()}\nShort."),
+        (f"<p>Top</p><ul>{_MENU}</ul><p>{_SAID}</p><p><a href=x>Linked</a></p><p>{_SAID}</p>", f"{_SAID.strip()}\nLinked\n{_SAID.strip()}"),
+        (f"<article><p>One.</p><ul>{_MENU}</ul><p>Two.</p></article>", "One.\nTwo."),
+    ],
+)
+def test_windows_decide_where_no_name_does(monkeypatch, page, text):
+    assert html.main_text(page) == text
+    monkeypatch.setattr(html, "spans", lambda length, *_: np.ones(len(length), bool))
+    assert "Entry number 3" in html.main_text(page)
+
+
 def test_op8_query_equals_the_library(spark):
     sp, docs = sentencepiece.SentencePieceProcessor(model_file=model_path()), table("documents")
     want = {}

@@ -44,16 +44,23 @@ ENDS = {
 }
 #: Blocks inside a paragraph that leave it open.
 IN_PARAGRAPH = frozenset("br button legend option optgroup caption tbody td tfoot th thead tr body html".split())
-#: Whole words in class, id or role values that name parts outside the article.
+#: Values of class, id or role, or hyphenated parts of them, that name what is not the article.
 NAMES = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header login"
     " masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted promotion related replies"
     " respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget contentinfo complementary search".split()
 )
-#: Words of names that only say what else the page has.
-_ABOUT = frozenset("has no with without is".split())
+#: What a hyphenated value may have beside them; with any other word, as in search-tips, it is a name of the text's own.
+WITH_NAMES = frozenset(
+    "area articles bar block bottom box button buttons container content desktop form global google icons inner item left link links list main"
+    " mobile module overlay page panel post posts primary reader readers right row secondary section site slot sticky stories text title top"
+    " unit user users wrap wrapper wp".split()
+)
+#: Names that say nothing against a part of an article.
+OF_ARTICLES = frozenset("header login masthead modal search toolbar widget complementary".split())
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none""", re.I)
 _SPACE = re.compile(r"\s+")
+_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 
 
 @dataclass
@@ -65,13 +72,14 @@ class Line:
 
 
 def _named(attributes: str, article: bool) -> bool:
-    """Whether an element's names or its being hidden put it outside the article; within one, headers are part of it."""
+    """Whether an element's names or its being hidden put it outside the article; within one, some names do not."""
     if _HIDDEN.search(attributes):
         return True
+    against = NAMES - OF_ARTICLES if article else NAMES
     for value in _NAMES.findall(attributes):
         for token in value.strip("\"'").lower().split():
-            found = set(re.split(r"[^a-z0-9]+", token))
-            if found & NAMES and not found & _ABOUT and not (article and found & NAMES == {"header"}):
+            parts = {x for x in re.split(r"[^a-z]+", token) if x}
+            if parts & against and parts <= NAMES | WITH_NAMES:
                 return True
     return False
 
@@ -129,7 +137,8 @@ def lines(page: str) -> list[Line]:
     parts: list[str] = []
     linked = 0
     opened = _Open()
-    article, link, at, n = 0, 0, 0, len(page)
+    article, at, n = 0, 0, len(page)
+    link, within, ends = False, 0, True  # in a link; how deep it began; whether an end tag is to come
 
     def close() -> None:
         nonlocal linked
@@ -140,6 +149,10 @@ def lines(page: str) -> list[Line]:
         parts.clear()
         linked = 0
 
+    def still() -> bool:
+        """Whether the link goes on: not beyond the block that it began in, and without an end tag not beyond its line."""
+        return link and ends and len(opened.names) >= within
+
     while at < n:
         m = _TOKEN.search(page, at)
         piece = page[at : m.start() if m else n]
@@ -167,8 +180,11 @@ def lines(page: str) -> list[Line]:
             continue
         if name in BLOCKS:
             close()
+            link = still()
         if name == "a":
-            link = 0 if closing else 1
+            link = not closing
+            following = _LINK.search(page, at) if link else None
+            within, ends = len(opened.names), bool(following and following[1])
         if name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
         if name in VOID:
@@ -177,9 +193,11 @@ def lines(page: str) -> list[Line]:
             if name not in BLOCKS and opened.at >= 0:
                 close()
             opened.close(name)
+            link = still() if name in BLOCKS else link
             continue
         if name in BLOCKS:
             opened.implied(name)
+            link = still()
         if name in ("article", "main") and opened.at >= 0 and opened.loose and not _named(attributes, False):
             opened.at = -1  # what a name alone had put aside holds the article
         drop = False
@@ -217,16 +235,33 @@ def spans(length: np.ndarray, surge: float, window: int = WINDOW) -> np.ndarray:
     return keep
 
 
+def _weights(found: list[Line]) -> list[int]:
+    """What the lines of an article weigh: a line that is wholly linked weighs as text, too, unless WINDOW of them in a row
+    make a list of links. If there is nothing but such lists, they are the article."""
+    weights, at = [x.plain if x.kept else 0 for x in found], 0
+    while at < len(found):
+        end = at
+        while end < len(found) and found[end].kept and not found[end].plain:
+            end += 1
+        if 0 < end - at < WINDOW:
+            weights[at:end] = [len(x.text) for x in found[at:end]]
+        at = max(end, at + 1)
+    return weights if any(weights) else [len(x.text) if x.kept else 0 for x in found]
+
+
 def main_text(page: str | None) -> str:
     """Text of the article, blocks joined by a newline. Where an article or main element marks it, lines outside weigh
     nothing and any weight inside is a surge; elsewhere SURGE characters are one, or the page's largest window if that
-    has fewer. Runs of links with no text between them are no text on any page."""
+    has fewer. Runs of links with no text between them are no text on pages that have any other."""
     found = lines(page or "")
-    marked = any(x.article and x.kept and x.plain for x in found)
-    length = np.array([x.plain if x.kept and (x.article or not marked) else 0 for x in found], float)
-    most = np.convolve(length, np.ones(WINDOW)).max() if len(length) else 0
-    keep = spans(length, 1 if marked else max(1, min(SURGE, most)))
-    return "\n".join(x.text for x, k in zip(found, keep, strict=True) if k and x.kept and (x.article or not marked))
+    if marked := [x for x in found if x.article and x.kept]:
+        found, surge = marked, 1.0
+        length = np.array(_weights(found), float)
+    else:
+        length = np.array([x.plain if x.kept else 0 for x in found], float)
+        most = np.convolve(length, np.ones(WINDOW)).max() if len(length) else 0
+        surge = max(1, min(SURGE, most))
+    return "\n".join(x.text for x, k in zip(found, spans(length, surge), strict=True) if k and x.kept)
 
 
 @give_back

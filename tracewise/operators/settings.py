@@ -101,6 +101,23 @@ def areas_status(areas: DataFrame) -> DataFrame:
     return out.withColumn("areas_are_valid", (F.col("area_rows") == n) & (F.col("unique_areas") == n) & (F.col("valid_rows") == n))
 
 
+def settings_numbers(settings: DataFrame, areas: DataFrame) -> DataFrame:
+    """One row, even of empty tables, with what the checks look at: numbers of rows, of distinct settings keyed 1 and of
+    unusable thread filters, the smallest value of each limit, and the areas' distinct, expected and shortest texts."""
+    length = lambda c: F.char_length(trimmed(F.col(c)))
+    s = settings.agg(
+        F.count("*").alias("settings_rows"), F.count_distinct(F.when(F.col("settings_id") == 1, F.col("settings_id"))).alias("rows_keyed_one"),
+        *(F.min(c).alias(c) for c in ("review_start", "review_end", "max_new_reviews", "max_new_recommendations", "min_occurrences", "docs_max_age_hours")),
+        F.min(length("prompt_revision")).cast("long").alias("prompt_revision_length"), F.count_if(trimmed(F.col("thread_filter")).isin("", "0")).alias("unusable_thread_filters"),
+    )
+    a = areas.agg(
+        F.count("*").alias("area_rows"), F.count_distinct("area_key").alias("distinct_area_keys"),
+        F.count_distinct(F.when(F.col("area_key").isin(*AREAS), F.col("area_key"))).alias("expected_area_keys_present"),
+        F.min(length("area_description")).cast("long").alias("shortest_area_description"), F.min(length("documentation_query")).cast("long").alias("shortest_documentation_query"),
+    )
+    return s.crossJoin(F.broadcast(a))
+
+
 def settings_report(settings: DataFrame, areas: DataFrame, as_of: datetime) -> DataFrame:
     """One row with the numbers of rows, the earliest window, and whether every row passes each named check."""
     names = list(checks(as_of))

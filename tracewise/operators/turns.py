@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tracewise.functions.hashing import AGENT, identity
 from tracewise.functions.text import known_thread, usable
+from tracewise.sources.scratch import materialise
 
 CONTEXT = 6  #: positions before a follow-up that give context
+BLOCK = 4096  #: positions of a thread in one window
 COVERAGE = "follow-up as a proxy; no explicit rating; answers without a follow-up are not judged"
 CONFIG_SCOPE = "as captured; the version that answered is unknown"
 TOOL_PREFIXES = ("SkillTool_", "ChartTool-")  #: names of tool spans that have no tool field begin so
@@ -32,8 +34,8 @@ def conversation_turns(events: DataFrame, tool_prefixes: tuple[str, ...] = TOOL_
     """One row for each agent and trace that has a root span.
 
     The latest root wins, and the earliest usable question; all of a trace's events are its evidence. One aggregation by
-    agent and trace does all three. Turns are numbered within agent and thread before completeness is looked at; turns
-    without a thread are numbered apart, by hours, as they may be any share of all turns.
+    agent and trace does all three. Turns are numbered within agent and thread before completeness is looked at; those
+    without a thread are numbered like those of one thread. A thread may hold any share of all turns.
     """
     is_tool = (
         F.col("tool_name").isNotNull() | F.col("executed_sql").isNotNull() | F.col("chart_definition").isNotNull()
@@ -58,37 +60,42 @@ def conversation_turns(events: DataFrame, tool_prefixes: tuple[str, ...] = TOOL_
         F.col("question.event_hash").alias("question_event_hash"),
         (F.col("question").isNotNull() & usable(F.col("root.agent_answer"))).alias("is_complete"),
     )
-    known = turns.where("thread_id is not null")
-    w = Window.partitionBy(*AGENT, "thread_id").orderBy("event_epoch_ns", "trace_id")
-    known = known.withColumn("turn_no", F.row_number().over(w).cast("long"))
-    unknown = _numbered_by_minute(turns.where("thread_id is null"))
-    out = known.unionByName(unknown)
     hash_ = identity(*AGENT, "thread_id", "trace_id", "root_event_hash", "question_event_hash", "event_hashes")
-    return out.withColumn("turn_hash", hash_).drop("question_event_hash")
+    return numbered(turns, [*AGENT, "thread_id"], ["event_epoch_ns", "trace_id"], "turn_no").withColumn("turn_hash", hash_).drop("question_event_hash")
 
 
-def _numbered_by_minute(turns: DataFrame) -> DataFrame:
-    """Row numbers within an agent from row numbers within its minutes and the sizes of the minutes before."""
-    minute = F.expr("event_epoch_ns div 60000000000")
-    turns = turns.withColumn("minute", minute)
-    sizes = turns.groupBy(*AGENT, "minute").agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*AGENT).orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = sizes.withColumn("before", F.sum("n").over(w) - F.col("n")).drop("n")
-    w = Window.partitionBy(*AGENT, "minute").orderBy("event_epoch_ns", "trace_id")
-    numbered = turns.withColumn("in_minute", F.row_number().over(w)).join(sizes, [*AGENT, "minute"])
-    return numbered.withColumn("turn_no", F.col("before") + F.col("in_minute")).drop("minute", "in_minute", "before")
+def numbered(rows: DataFrame, by: list[str], order: list[str], number: str) -> DataFrame:
+    """rows with their number (from 1) by `order` within groups of any size; no two rows of a group may be equal by it.
+
+    Rows are dealt out by ranges of group and order, so a large group lies in many ranges, and written once. A number is the
+    place in the range's part of the group and the sizes of the group's parts before it; nulls in `by` are a group.
+    """
+    keys = [*by, *order]
+    placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
+    placed = materialise(placed, "ranges").withColumn("range", F.shiftright("at", 33))
+    parts = placed.groupBy("range", *by).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    so_far = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("before", F.sum("n").over(so_far) - F.col("n") - F.col("first") + 1)
+    of = parts.select(F.col("range").alias("_range"), *(F.col(c).alias(f"_{c}") for c in by), "before")
+    same = reduce(lambda c, k: c & F.col(k).eqNullSafe(F.col(f"_{k}")), by, F.col("range") == F.col("_range"))
+    return placed.join(of, same).select(*rows.columns, (F.col("at") + F.col("before")).alias(number))
 
 
 def answer_followup_pairs(turns: DataFrame) -> DataFrame:
     """An answer with the very next turn of its thread, both complete, and the complete ones of the six turns before it.
 
-    Positions are gap-free, so the neighbour is a lag and the context a row frame; nothing is joined.
+    Positions are gap-free, so the neighbour is a lag and the context a row frame; nothing is joined. A thread is cut into
+    blocks of BLOCK positions, each of which gets the last CONTEXT turns of the block before as well, so a large thread is
+    many windows.
     """
-    w = Window.partitionBy(*AGENT, "thread_id").orderBy("turn_no")
+    block = F.expr(f"(turn_no - 1) div {BLOCK}")
+    in_blocks = F.when((F.col("turn_no") - 1) % BLOCK >= BLOCK - CONTEXT, F.array(block, block + 1)).otherwise(F.array(block))
+    w = Window.partitionBy(*AGENT, "thread_id", "block").orderBy("turn_no")
     me = F.struct(*TURN_FIELDS)
     whole = F.when(F.col("is_complete"), F.struct(me.alias("turn"), F.col("turn_hash"), F.col("event_hashes")))
-    rows = turns.where("thread_id is not null").withColumns({"me": me, "whole": whole})
+    rows = turns.where("thread_id is not null").withColumn("block", F.explode(in_blocks)).withColumns({"me": me, "whole": whole})
     rows = rows.withColumns({"response": F.lag("whole").over(w), "prior": F.collect_list("whole").over(w.rowsBetween(-CONTEXT, -1))})
+    rows = rows.where(F.col("block") == block)
     pairs = rows.where("is_complete and response is not null")
     evidence = F.struct(
         F.col("response.turn.trace_id").alias("response_trace_id"), F.col("trace_id").alias("feedback_trace_id"),

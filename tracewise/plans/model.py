@@ -84,7 +84,7 @@ class Model:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return turns.answer_followup_pairs(self.turns)
+        return materialise(turns.answer_followup_pairs(self.turns), "pairs")
 
     @cached_property
     def history(self) -> DataFrame:

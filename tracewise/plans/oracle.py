@@ -275,6 +275,13 @@ ORACLE_SQL |= {
     "areas_statuses": f"""SELECT 'areas' AS "case", 8::BIGINT AS area_rows, 8::BIGINT AS unique_areas, 8::BIGINT AS valid_rows, true AS areas_are_valid
       UNION ALL SELECT 'pages', count(*), count(DISTINCT page_id % 9), count(*) FILTER (WHERE page_id % 9 < 8 AND page_id % 5 > 0 AND page_id % 7 > 0 AND length(trim({_TITLE}, {BLANKS})) > 0),
         count(*) = 8 AND count(DISTINCT page_id % 9) = 8 AND count(*) FILTER (WHERE page_id % 9 < 8 AND page_id % 5 > 0 AND page_id % 7 > 0 AND length(trim({_TITLE}, {BLANKS})) > 0) = 8 FROM pages""",
+    "settings_numbers": f"""WITH areas AS (SELECT [{', '.join(f"'{a}'" for a in (*AREAS, 'other'))}][page_id % 9 + 1] AS area_key, CASE WHEN page_id % 5 > 0 THEN {_TITLE} ELSE ' ' END AS d, CASE WHEN page_id % 7 > 0 THEN 'q' END AS q FROM pages)
+      SELECT 'made' AS "case", epoch_us(min(review_start)) AS start_us, epoch_us(min(review_end)) AS end_us, count(*) AS settings_rows, count(DISTINCT CASE WHEN o_orderkey % 7 = 1 THEN 1 END) AS rows_keyed_one, min(o_custkey % 110)::INT AS max_new_reviews,
+        min(o_orderkey % 25)::INT AS max_new_recommendations, min(o_custkey % 1100)::INT AS min_occurrences, min(o_orderkey % 800)::INT AS docs_max_age_hours, min(length(trim(rev, {BLANKS}))) AS prompt_revision_length,
+        count(*) FILTER (WHERE trim(thread_filter, {BLANKS}) IN ('', '0')) AS unusable_thread_filters, (SELECT count(*) FROM areas) AS area_rows, (SELECT count(DISTINCT area_key) FROM areas) AS distinct_area_keys,
+        (SELECT count(DISTINCT CASE WHEN area_key <> 'other' THEN area_key END) FROM areas) AS expected_area_keys_present, (SELECT min(length(trim(d, {BLANKS}))) FROM areas) AS shortest_area_description, (SELECT min(length(q)) FROM areas) AS shortest_documentation_query FROM {CHECKED}
+      UNION ALL SELECT 'none', NULL, NULL, 0, 0, NULL, NULL, NULL, NULL, NULL, 0, 0, 0, 0, NULL, NULL
+      UNION ALL SELECT 'one', epoch_us(TIMESTAMP '2024-01-01'), epoch_us(TIMESTAMP '2024-03-15'), 1, 1, 20, 5, 2, 168, 2, 0, 8, 8, 8, {min(len(a) for a in AREAS) + 11}, {min(len(a) + 6 if a != 'skills' else 7 for a in AREAS)}""",
     "seeds": q("SELECT 'empty' AS \"case\", area_key, documentation_query FROM areas WHERE NOT EXISTS (SELECT 1 FROM history WHERE captured_at < TIMESTAMP '1990-01-01') UNION ALL SELECT 'filled', area_key, documentation_query FROM areas WHERE NOT EXISTS (SELECT 1 FROM history)"),
     "spans_from_files": q("SELECT event_hash, span_id, thread_id, agent_answer, event_epoch_ns FROM web_events"),
     "snapshots_appended": q(f"SELECT {AGENT}, count(*) + 1 AS snapshots, count(DISTINCT snapshot_id) + 1 AS identities, 1::BIGINT AS captured_again FROM history GROUP BY {AGENT}"),

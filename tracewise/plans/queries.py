@@ -494,13 +494,27 @@ def settings_reports(m: Model) -> DataFrame:
     ])
 
 
-@query
-def areas_statuses(m: Model) -> DataFrame:
-    """Of the areas and of one made of each page, with titles for descriptions."""
+def _made_areas(m: Model) -> DataFrame:
+    """An area made of each page, with titles for descriptions."""
     area = F.element_at(F.array(*map(F.lit, (*settings.AREAS, "other"))), (F.col("page_id") % 9 + 1).cast("int"))
     title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
-    made = m.table("pages").select(area.alias("area_key"), F.when(F.col("page_id") % 5 > 0, title).otherwise(" ").alias("area_description"), F.when(F.col("page_id") % 7 > 0, "q").alias("documentation_query"))
-    return _union([settings.areas_status(rows).select(F.lit(k).alias("case"), "*") for k, rows in (("areas", m.areas), ("pages", made))])
+    return m.table("pages").select(area.alias("area_key"), F.when(F.col("page_id") % 5 > 0, title).otherwise(" ").alias("area_description"), F.when(F.col("page_id") % 7 > 0, "q").alias("documentation_query"))
+
+
+@query
+def areas_statuses(m: Model) -> DataFrame:
+    """Of the areas and of one made of each page."""
+    return _union([settings.areas_status(rows).select(F.lit(k).alias("case"), "*") for k, rows in (("areas", m.areas), ("pages", _made_areas(m)))])
+
+
+@query
+def settings_numbers(m: Model) -> DataFrame:
+    """Of a table of many rows with an area of each page, of an empty one and of the valid row."""
+    areas = {"made": _made_areas(m), "none": _made_areas(m).where("area_key is null"), "one": m.areas}
+    return _union([
+        settings.settings_numbers(rows, areas[k]).select(F.lit(k).alias("case"), us("review_start", "start_us"), us("review_end", "end_us"), "*").drop("review_start", "review_end")
+        for k, rows in _settings_cases(m).items()
+    ])
 
 
 @query

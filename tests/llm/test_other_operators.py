@@ -178,20 +178,42 @@ def test_ann_scans_for_a_bounded_part_of_the_queries(spark, monkeypatch):
     x = vectors(600)
     rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], EMB)
     search = lambda: sorted(map(tuple, ann.search(rows, F.col("vec_id") % 10 == 0).collect()))
-    want, scanned = search(), ann._scanned
+    want, scanned, rounds = search(), ann._scanned, []
 
-    def bounded(*how):
-        run = scanned(*how)
+    def bounded(k, tests, own, *more):
+        rounds.append(len(own))
+        return scanned(k, tests, own, *more)
 
-        def checked(key, left, right):
-            assert len(right) < 40
-            return run(key, left, right)
-
-        return checked
-
-    monkeypatch.setattr(ann, "QUERIES", 10, raising=False)
+    monkeypatch.setattr(ann, "QUERIES", 10)
     monkeypatch.setattr(ann, "_scanned", bounded)
-    assert search() == want
+    assert search() == want and len(rounds) == 6 and sum(rounds) == 60 and max(rounds) < 30
+
+
+def test_ann_rows_written_grow_with_the_table(spark, monkeypatch):
+    """Vectors are written twice and go through one exchange; each task returns k results of a query at most."""
+    written, materialise = [], ann.materialise
+    monkeypatch.setattr(ann, "materialise", lambda df, name: written.append((name, materialise(df, name))) or written[-1][1])
+    totals = []
+    for n in (1000, 4000):
+        written.clear()
+        rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors(n))], EMB)
+        ann.search(rows, F.col("vec_id") % 10 == 0).count()
+        counts = {}
+        for name, df in written:
+            counts[name] = counts.get(name, 0) + df.count()
+        assert counts["lists"] == counts["blocks"] == n and counts["found"] <= n // 10 * 10 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        totals.append(sum(counts.values()))
+    assert totals[1] < 4.4 * totals[0]
+
+
+def test_ann_lengths_are_searched_apart(spark):
+    x, y = vectors(300), vectors(120, dim=7, seed=3)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(1000 + i, v.tolist(), 0) for i, v in enumerate(y)] + [(5000, [1.0, 2.0], 0)]
+    got = ann.search(spark.createDataFrame(rows, EMB), F.col("vec_id") % 100 == 0).toPandas()
+    assert set(got.query_id) == {0, 100, 200, 1000, 1100}
+    for q, part in got.groupby("query_id"):
+        pool, ids = (y, list(range(1000, 1120))) if q >= 1000 else (x, list(range(300)))
+        assert len(set(part.vec_id) & set(nearest(pool, ids, ids.index(q), 10))) >= 9
 
 
 def test_ann_query_recall(spark):

@@ -10,19 +10,21 @@ exact distances.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewise.llm.shared import materialise
+from tracewise.llm.shared import give_back, materialise
 from tracewise.llm.vectors import matrix, usable
 
 SAMPLE = 16_384  #: vectors, at most about, that the centres are fitted on
 LISTS = 1024  #: most centres; lists may grow beyond any size, as they are scanned in blocks
-BLOCK = 1024  #: vectors of a list scanned by one group
-QUERIES = 2048  #: about as many queries, at most, that one group scans for
+BLOCK = 1024  #: vectors of a list that go to one task together and are scanned in step
+TASK = 1 << 16  #: vectors of a task, about, if there are more than the session's shuffle partitions make
+QUERIES, QUERY_BYTES = 16_384, 64 << 20  #: queries of a round, about, at most; they are sent to all tasks
 COLUMNS = 8  #: columns read between tests
 ALPHA = 0.002  #: probability that a test abandons a vector as near as the k-th best
 PAIRS = 1 << 15  #: of a query and a candidate that are scanned in step
@@ -90,20 +92,47 @@ def scan(q: np.ndarray, own: np.ndarray, bound: np.ndarray, ids: np.ndarray, x:
     return i[best], ids[j[best]], d[best], read
 
 
-def _scanned(k: int, tests: list[tuple[int, int, float]]):
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            ids, x, q = left["vec_id"].to_numpy(), matrix(left["embedding"]), matrix(right["embedding"])
-            own, bound = right["query_id"].to_numpy(), right["bound"].to_numpy()
-            turn = rotation(x.shape[1])
-            turned, turned_q = x @ turn, q @ turn
-            step = max(1, PAIRS // len(ids))
-            for at in range(0, len(q), step):
-                part = slice(at, at + step)
-                i, found, d, _ = scan(q[part], own[part], bound[part], ids, x, turned, turned_q[part], k, tests)
-                out.append(pd.DataFrame({"query_id": own[part][i], "vec_id": found, "score": d}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+def best(i: np.ndarray, found: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest ids of each query's row i, each id once; sorted by row, distance and id."""
+    order = np.lexsort((d, found, i))
+    i, found, d = i[order], found[order], d[order]
+    first = np.ones(len(i), bool)
+    first[1:] = (i[1:] != i[:-1]) | (found[1:] != found[:-1])
+    i, found, d = i[first], found[first], d[first]
+    order = np.lexsort((found, d, i))
+    i, found, d = i[order], found[order], d[order]
+    keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return i[keep], found[keep], d[keep]
+
+
+def _scanned(k: int, tests: list[tuple[int, int, float]], own: np.ndarray, q: np.ndarray, limits: np.ndarray, probes: np.ndarray):
+    """Vectors that come sorted by list -> (query_id, vec_id, score) of the k nearest that a task has for each query. probes:
+    for each query, which lists it looks into. What a task has found already bounds what follows."""
+
+    @give_back
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn, bound = rotation(q.shape[1]), limits.copy()
+        turned_q = q @ turn
+        held = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        for b in batches:
+            if not len(b):
+                continue
+            lists, ids, x = b["list"].to_numpy(), b["vec_id"].to_numpy(), matrix(b["embedding"])
+            turned, new = x @ turn, [held]
+            starts = np.flatnonzero(np.concatenate([[True], lists[1:] != lists[:-1]]))
+            for at, end in zip(starts, [*starts[1:], len(lists)], strict=True):
+                asking = np.flatnonzero(probes[:, lists[at]])
+                for low in range(at, end, BLOCK):
+                    part = slice(low, min(end, low + BLOCK))
+                    step = max(1, PAIRS // (part.stop - low))
+                    for begin in range(0, len(asking), step):
+                        a = asking[begin : begin + step]
+                        i, found, d, _ = scan(q[a], own[a], bound[a], ids[part], x[part], turned[part], turned_q[a], k, tests)
+                        new.append((a[i], found, d))
+            held = best(*(np.concatenate(c) for c in zip(*new, strict=True)), k)
+            last = np.flatnonzero(np.arange(len(held[0])) - np.searchsorted(held[0], held[0]) == k - 1)
+            bound[held[0][last]] = np.minimum(bound[held[0][last]], held[2][last] ** 2 * (1 + 1e-9))
+        yield pd.DataFrame({"query_id": own[held[0]], "vec_id": held[1], "score": held[2]})
 
     return run
 
@@ -114,19 +143,28 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = 0.6
     vectors: vec_id, embedding; other columns, whatever their names, are only read by is_query. Score: Euclidean distance
     of the given vectors in double precision; ties go to the smaller id. A query probes `share` of the lists, `least` of
     them at least, and more until they hold more than k vectors. Vectors that are null, empty, zero or hold null or
-    non-finite components take no part, nor do vectors of another length than most; null ids neither. A repeated row
-    counts once. Of an id with several vectors the first in array order asks, and the nearest one is found; it is never
-    found for its own id. An empty table, or one without usable vectors, gives an empty result.
+    non-finite components take no part; null ids neither. Vectors of different lengths have no distance: each length is a
+    search of its own. A repeated row counts once. Of an id with several vectors the first in array order asks, and the
+    nearest one is found; it is never found for its own id. An empty table, or one without usable vectors, gives an empty
+    result.
+
+    Each vector is shuffled once, to others of its list. Queries go to the vectors in rounds of a bounded size, and each
+    task returns the k best that it has for each query.
     """
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", is_query.alias("is_query")).where(
         F.col("vec_id").isNotNull() & usable(F.col("embedding"))
     )
-    sizes = base.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if sizes is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    dim, n = sizes
-    base = base.where(F.size("embedding") == dim)
+    lengths = sorted(map(tuple, base.groupBy(F.size("embedding").alias("dim")).count().collect()))
+    found = [_search(base.where(F.size("embedding") == dim), dim, n, k, share, least) for dim, n in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    w = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _search(base: DataFrame, dim: int, n: int, k: int, share: float, least: int) -> DataFrame:
+    """(query_id, vec_id, score) of what the n vectors of one length hold for the queries among them."""
     hashed = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1_000_000))
     sample = base.where(hashed < max(1, int(min(1.0, SAMPLE / n) * 1_000_000))).orderBy("vec_id").select("vec_id", "embedding").toPandas()
     if not len(sample):
@@ -136,15 +174,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = 0.6
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(list=nearest(matrix(b["embedding"]), centres, 1)[:, 0] if len(b) else [])[["vec_id", "embedding", "is_query", "list"]]
+            yield b.assign(list=nearest(matrix(b["embedding"]), centres, 1)[:, 0] if len(b) else [])[["vec_id", "embedding", "is_query", "list", "row"]]
 
-    listed = materialise(base.mapInPandas(dealt, "vec_id long, embedding array<float>, is_query boolean, list int"), "lists")
+    numbered = base.withColumn("row", F.monotonically_increasing_id())
+    listed = materialise(numbered.mapInPandas(dealt, "vec_id long, embedding array<float>, is_query boolean, list int, row long"), "lists")
     # One row for each list, so at most LISTS.
     counts = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}
     size = np.array([counts.get(i, 0) for i in range(len(centres))])
-    blocks = -(-size // BLOCK)
     probes = max(least, int(np.ceil(share * len(centres))))
-
     # The k nearest sampled vectors are results themselves, so their distances bound every scan.
     squares, single = (fitted**2).sum(axis=1), fitted.astype(np.float32)
 
@@ -154,41 +191,34 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = 0.6
         at = np.argpartition(d, min(len(d), 8 * k) - 1)[: 8 * k]
         at = at[fitted_ids[at] != own]
         d = np.sqrt(((fitted[at] - q) ** 2).sum(axis=1))
-        order = np.lexsort((fitted_ids[at], d))
-        found, first = np.unique(fitted_ids[at][order], return_index=True)
-        first = np.sort(first)[:k]
-        return fitted_ids[at][order][first], d[order][first]
-
-    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for i, x in zip(b["vec_id"].tolist(), matrix(b["embedding"]), strict=True):
-                found, d = of_sample(i, x)
-                yield pd.DataFrame({"query_id": np.full(len(found), i), "vec_id": found, "score": d})
+        _, found, d = best(np.zeros(len(at), np.int64), fitted_ids[at], d, k)
+        return found, d
 
-    def bounds(own: np.ndarray, q: np.ndarray) -> list[float]:
-        return [float(d[k - 1] ** 2 * (1 + 1e-9)) if len(d) == k else float("inf") for _, d in (of_sample(i, x) for i, x in zip(own, q, strict=True))]
-
-    def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def prepared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            order = nearest(matrix(b["embedding"]), centres, len(centres)) if len(b) else np.empty((0, len(centres)), int)
+            q = matrix(b["embedding"])
+            order = nearest(q, centres, len(centres)) if len(b) else np.empty((0, len(centres)), int)
             need = (np.cumsum(size[order], axis=1) <= k).sum(axis=1) + 1
-            take = [o[: max(probes, m)] for o, m in zip(order, need, strict=True)]
-            b = b.assign(bound=bounds(b["vec_id"].to_numpy(), matrix(b["embedding"])))
-            cells = [[(int(x), s) for x in t for s in range(blocks[x])] for t in take]
-            out = b.assign(cell=cells).explode("cell").dropna(subset=["cell"])
-            yield pd.DataFrame({"query_id": out["vec_id"], "embedding": out["embedding"], "bound": out["bound"], "list": [c[0] for c in out["cell"]], "block": [c[1] for c in out["cell"]]})
+            into = np.zeros((len(b), len(centres)), bool)
+            for i, m in enumerate(need):
+                into[i, order[i, : max(probes, m)]] = True
+            near = [of_sample(i, x) for i, x in zip(b["vec_id"].tolist(), q, strict=True)]
+            yield b.assign(
+                bound=[float(d[k - 1] ** 2 * (1 + 1e-9)) if len(d) == k else float("inf") for _, d in near], probes=[np.packbits(x).tobytes() for x in into],
+                near=[i.tolist() for i, _ in near], far=[d.tolist() for _, d in near],
+            )[["vec_id", "embedding", "bound", "probes", "near", "far"]]
 
     # A stated number of partitions, so that few bytes do not meet in one task; each query's work is large.
-    asked = listed.where("is_query").select("vec_id", "embedding").repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), "vec_id")
-    asked = asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    # Each part of the queries meets each block of a list in a group of its own.
-    parts = -(-asked.count() // QUERIES)
-    part = F.pmod(F.xxhash64("query_id", F.lit("part")), F.lit(max(1, parts))).cast("int").alias("part")
-    by_list = F.create_map(*[F.lit(int(x)) for pair in enumerate(np.maximum(blocks, 1)) for x in pair])
-    stored = listed.select("vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), by_list[F.col("list")]).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(max(1, parts) - 1))).alias("part"))
-    queries = asked.mapInPandas(probed, "query_id long, embedding array<float>, bound double, list int, block int").select("*", part)
-    found = stored.groupBy("list", "block", "part").cogroup(queries.groupBy("list", "block", "part")).applyInPandas(_scanned(k, shares(dim)), "query_id long, vec_id long, score double")
-    found = found.unionByName(asked.mapInPandas(sampled, "query_id long, vec_id long, score double"))
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    w = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = listed.where("is_query").select("vec_id", "embedding").repartition(tasks, "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = materialise(asked.mapInPandas(prepared, "vec_id long, embedding array<float>, bound double, probes binary, near array<long>, far array<double>"), "asked")
+    rounds = -(-asked.count() // max(1, min(QUERIES, QUERY_BYTES // (16 * dim + len(centres)))))
+    block = F.col("row") % (F.expr(f"element_at(array({','.join(str(max(1, -(-int(x) // BLOCK))) for x in size)}), list + 1)"))
+    blocks = materialise(listed.repartition(max(tasks, n // TASK), "list", block).sortWithinPartitions("list").select("vec_id", "embedding", "list"), "blocks")
+    results = [asked.select(F.col("vec_id").alias("query_id"), F.inline(F.arrays_zip(F.col("near").alias("vec_id"), F.col("far").alias("score"))))]
+    for r in range(rounds):
+        own = asked.where(F.pmod(F.xxhash64("vec_id", F.lit("round")), F.lit(rounds)) == r).select("vec_id", "embedding", "bound", "probes").toPandas()
+        into = np.array([np.unpackbits(np.frombuffer(p, np.uint8), count=len(centres)) for p in own["probes"]], bool).reshape(len(own), len(centres))
+        run = _scanned(k, shares(dim), own["vec_id"].to_numpy(), matrix(own["embedding"]).reshape(len(own), dim), own["bound"].to_numpy(), into)
+        results.append(materialise(blocks.mapInPandas(run, "query_id long, vec_id long, score double"), "found"))
+    return reduce(DataFrame.unionByName, results)

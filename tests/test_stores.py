@@ -106,6 +106,33 @@ def test_full_bitmaps_and_null_keys_lose_nothing(spark):
     assert table.merge(nulls).count() == 1
 
 
+# --- spans by day
+
+
+def test_only_the_days_of_the_window_are_opened(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from tracewise.operators.settings import Settings
+    from tracewise.sources import spans
+
+    start, path = datetime(2024, 1, 1), f"{tmp_path}/days"
+    rows = [("SPAN", start + timedelta(hours=5 * i), f'{{"trace_id": "{i}"}}', "{}", "{}") for i in range(60)] + [("SPAN", None, "{}", "{}", "{}")]
+    spans.write_daily(spark.createDataFrame(rows, spans.SPAN_SCHEMA), f"file://{path}")
+    window = Settings(datetime(2024, 1, 3, 7), datetime(2024, 1, 5, 2), None, 1, 1, 1, 1, "v")
+    for f in glob.glob(f"{path}/span_day=*/*.parquet"):
+        day = f.split("span_day=")[1][:10]
+        if not "2024-01-03" <= day <= "2024-01-05":
+            os.remove(f)
+            with open(f, "w") as out:
+                out.write("no parquet at all")
+    got = spans.read_daily(spark, f"file://{path}", window)
+    want = [r[1] for r in rows if r[1] and window.review_start <= r[1] < window.review_end]
+    assert sorted(r["ts"] for r in got.collect()) == want and got.columns == ["record_type", "ts", "trace", "record", "record_attributes"]
+    assert spans.read_daily(spark, f"file://{path}", None).isEmpty()
+    with pytest.raises(Exception, match="(?i)parquet"):
+        spark.read.schema(spans.SPAN_SCHEMA).parquet(f"file://{path}").collect()
+
+
 # --- digests of groups
 
 

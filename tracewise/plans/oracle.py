@@ -284,6 +284,7 @@ ORACLE_SQL |= {
       UNION ALL SELECT 'one', epoch_us(TIMESTAMP '2024-01-01'), epoch_us(TIMESTAMP '2024-03-15'), 1, 1, 20, 5, 2, 168, 2, 0, 8, 8, 8, {min(len(a) for a in AREAS) + 11}, {min(len(a) + 6 if a != 'skills' else 7 for a in AREAS)}""",
     "seeds": q("SELECT 'empty' AS \"case\", area_key, documentation_query FROM areas WHERE NOT EXISTS (SELECT 1 FROM history WHERE captured_at < TIMESTAMP '1990-01-01') UNION ALL SELECT 'filled', area_key, documentation_query FROM areas WHERE NOT EXISTS (SELECT 1 FROM history)"),
     "spans_from_files": q("SELECT event_hash, span_id, thread_id, agent_answer, event_epoch_ns FROM web_events"),
+    "spans_of_days": q("SELECT event_hash, span_id, thread_id, event_epoch_ns FROM web_events WHERE ts >= TIMESTAMP '2024-01-05 12:00:00' AND ts < TIMESTAMP '2024-01-09 06:00:00'"),
     "snapshots_appended": q(f"SELECT {AGENT}, count(*) + 1 AS snapshots, count(DISTINCT snapshot_id) + 1 AS identities, 1::BIGINT AS captured_again FROM history GROUP BY {AGENT}"),
     "backlog_reports": ORACLE_SQL["backlog_report"] + f" UNION ALL SELECT CASE WHEN count(*) = 1 AND bool_and({_ALL_OK}) THEN 'valid' ELSE {INVALID} END, NULL, NULL, NULL, NULL, NULL, NULL FROM {CHECKED}",
     "review_queue_invalid": q(f"SELECT {QUEUE} FROM queue UNION ALL SELECT NULL, NULL, 0, 0, 'invalid_settings', NULL, NULL, 'invalid_settings', 'inspect the settings and areas' FROM (SELECT count(*) AS n, bool_and({_ALL_OK}) AS ok FROM {CHECKED}) WHERE NOT (n = 1 AND ok)"),

@@ -533,6 +533,17 @@ def spans_from_files(m: Model) -> DataFrame:
     return spans.with_event_hash(rows).select("event_hash", "span_id", "thread_id", "agent_answer", "event_epoch_ns")
 
 
+@query
+def spans_of_days(m: Model) -> DataFrame:
+    """Raw spans saved by day in two runs, and those of three days and two half ones read again."""
+    path = new_path(m.spark, "days")
+    for run in ("event_id % 3 = 0", "event_id % 3 > 0"):
+        spans.write_daily(adapters.event_spans(m.table("events").where(run)), path)
+    window = replace(m.settings, review_start=datetime(2024, 1, 5, 12), review_end=datetime(2024, 1, 9, 6))
+    rows = spans.readable_events(spans.read_daily(m.spark, path, window), ("DB", "FEEDBACK", "web"))
+    return spans.with_event_hash(rows).select("event_hash", "span_id", "thread_id", "event_epoch_ns")
+
+
 @query
 def snapshots_appended(m: Model) -> DataFrame:
     """The history after each agent's current settings are captured again."""

@@ -27,6 +27,24 @@ def read_spans(spark: SparkSession, path: str, form: str = "parquet") -> DataFra
     return spark.read.schema(SPAN_SCHEMA).format(form).load(path)
 
 
+SPAN_DAY = "span_day"  #: of the folders of spans saved by day
+
+
+def write_daily(spans: DataFrame, path: str) -> None:
+    """Appends raw spans to folders of their days (null for spans without a time). A day of any size is split over files of
+    the session's advisory size; small days are one file of a run."""
+    spans.withColumn(SPAN_DAY, F.to_date("ts")).hint("rebalance", SPAN_DAY).write.mode("append").partitionBy(SPAN_DAY).parquet(path)
+
+
+def read_daily(spark: SparkSession, path: str, settings: Settings | None) -> DataFrame:
+    """The spans of the window from folders of days: only folders of the window's days are opened, and within the first and
+    the last of them the time decides. Without valid settings, none."""
+    spans = spark.read.schema(f"{SPAN_SCHEMA}, {SPAN_DAY} date").parquet(path)
+    if settings is not None:
+        spans = spans.where(F.col(SPAN_DAY).between(settings.review_start.date(), settings.review_end.date()))
+    return in_window(spans, "ts", settings).drop(SPAN_DAY)
+
+
 def readable_events(spans: DataFrame, agent: tuple[str, str, str], fields: dict[str, tuple[str, str]] = FIELDS) -> DataFrame:
     """Spans with a trace as event columns. ts is UTC already; event_epoch_ns comes from it unless spans carry their own."""
     key = lambda col, name: F.get_json_object(col, f"$['{name}']")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracewise.sources.scratch import materialise
+
 
 def at(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant")
@@ -73,7 +76,8 @@ def _walk(value: object) -> list[tuple[str, str, str | None]]:
 def canonical_nodes(texts: pd.Series) -> pd.Series:
     """Sorted [path, type, scalar JSON] of every node of a JSON text, the root included; key order is no matter, and an
     empty object differs from an empty array. Null and malformed texts give null, and so do texts that are nested deeper
-    than Python's JSON reader goes (some thousands of levels). Paths grow with the depth, so nodes cost depth times size."""
+    than Python's JSON reader goes (some thousands of levels). Paths grow with the depth, so nodes cost depth times size.
+    The plain form of `flattened`, for a column at hand; no query runs it."""
 
     def nodes(text: str | None) -> list[list[str | None]] | None:
         try:
@@ -85,8 +89,35 @@ def canonical_nodes(texts: pd.Series) -> pd.Series:
     return texts.map(nodes)
 
 
-def canonical_hash(text: Column) -> Column:
-    """Identity of a JSON text apart from its key order and spacing; null for null and malformed texts."""
-    return F.sha2(F.to_json(canonical_nodes(text)), 256)
-
-
+def flattened(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, path, type, value) of every node of JSON texts, the root ($) included: OBJECT, ARRAY, STRING, NUMBER, BOOLEAN or
+    NULL; value: the JSON of a node without children of its own kind, null for objects and arrays.
+
+    A frontier of containers is opened level by level, as many nodes at once as a level has, until none is left; each level
+    is written once. Paths are $.key and $[place]. Malformed texts, null ones, those with a key twice in an object or with
+    more levels than variants go (a thousand) give no nodes.
+    """
+    spark = rows.sparkSession
+
+    def level(nodes: DataFrame) -> DataFrame:
+        k, v = F.split_part(kind(F.col("v")), F.lit("<"), F.lit(1)), F.col("v")
+        type_ = F.when(k.isin("OBJECT", "ARRAY", "STRING", "BOOLEAN"), k).when(k == "VOID", "NULL").otherwise("NUMBER")
+        is_container = type_.isin("OBJECT", "ARRAY")
+        return materialise(nodes.select(key, "path", type_.alias("type"), F.when(~is_container, F.to_json(v)).alias("value"), F.when(is_container, v).alias("v")), "nodes")
+
+    found = [level(rows.select(key, F.lit("$").alias("path"), F.try_parse_json(F.col(text)).alias("v")).where("v is not null"))]
+    while not (open_ := found[-1].where("v is not null")).isEmpty():
+        inside = open_.select(key, F.col("path").alias("at"), "v").lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).toDF("place", "name", "inner"))
+        step = F.when(F.col("name").isNotNull(), F.concat(F.lit("."), "name")).otherwise(F.concat(F.lit("["), F.col("place").cast("string"), F.lit("]")))
+        found.append(level(inside.select(key, F.concat("at", step).alias("path"), F.col("inner").alias("v"))))
+    return reduce(DataFrame.unionByName, found).drop("v")
+
+
+def with_canonical_hash(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """rows with the identity of the JSON in `text` apart from key order and spacing, for objects and arrays of any shape; null
+    where there are no nodes. Equal texts are walked once. An empty object differs from an empty array."""
+    keyed = rows.withColumn("_text", F.sha2(F.col(text), 256))
+    texts = keyed.where("_text is not null").select("_text", F.col(text).alias("json")).dropDuplicates(["_text"])
+    node = F.array("path", "type", "value")
+    hashes = flattened(texts, "_text", "json").groupBy("_text").agg(F.sha2(F.to_json(F.array_sort(F.collect_list(node))), 256).alias(name))
+    return keyed.join(hashes, "_text", "left").drop("_text")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewise.functions.hashing import AGENT
-from tracewise.functions.variants import canonical_hash, is_object
+from tracewise.functions.variants import is_object, with_canonical_hash
 
 
 def current_config(history: DataFrame) -> DataFrame:
@@ -17,10 +17,9 @@ def current_config(history: DataFrame) -> DataFrame:
     """
     last = history.groupBy(*AGENT).agg(F.max(F.struct("captured_at", "snapshot_id", "specification")).alias("last"))
     rows = last.select(*AGENT, "last.snapshot_id", "last.captured_at", "last.specification")
-    valid = is_object(F.try_parse_json(F.col("specification")))
-    return rows.withColumn("specification_is_valid", valid).withColumn(
-        "config_hash", F.when(F.col("specification_is_valid"), canonical_hash(F.col("specification")))
-    )
+    rows = rows.withColumn("specification_is_valid", is_object(F.try_parse_json(F.col("specification"))))
+    rows = with_canonical_hash(rows, "specification", "config_hash")
+    return rows.withColumn("config_hash", F.when(F.col("specification_is_valid"), F.col("config_hash")))
 
 
 def instructions(config: DataFrame) -> DataFrame:

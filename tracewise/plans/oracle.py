@@ -206,6 +206,7 @@ ORACLE_SQL: dict[str, str] = {
     "current_config": q(f"SELECT {AGENT}, snapshot_id, epoch_us(captured_at) AS captured_us, specification_is_valid, config_hash FROM config"),
     "config_instructions": q(f"SELECT {AGENT}, snapshot_id, json_extract_string(specification, '$.instructions.response') AS response_instructions, json_extract_string(specification, '$.instructions.orchestration') AS orchestration_instructions, json_extract_string(specification, '$.models.orchestration') AS orchestration_model FROM config"),
     "config_hash": q(f"SELECT config_hash, count(*) AS snapshots FROM history JOIN ({canonical('history')}) USING (specification) GROUP BY config_hash"),
+    "config_nodes": q("SELECT t.fullkey AS path, CASE WHEN t.type = 'VARCHAR' THEN 'STRING' ELSE t.type END AS type, CASE WHEN t.type NOT IN ('OBJECT', 'ARRAY') THEN t.atom::VARCHAR END AS value, count(*) AS nodes FROM (SELECT DISTINCT specification FROM history), json_tree(specification) t WHERE t.type IN ('OBJECT', 'ARRAY', 'VARCHAR', 'BOOLEAN', 'NULL') GROUP BY ALL"),
     "review_candidates": q("SELECT review_id, pair_hash, config_hash, thread_id, epoch_us(feedback_time) AS feedback_us, 'scorer' AS model_name, ' v1 ' AS prompt_revision, '2' AS schema_revision FROM candidates"),
     "review_budget": q("SELECT review_id, row_number() OVER (ORDER BY feedback_time, review_id) AS review_rank FROM candidates ORDER BY feedback_time, review_id LIMIT 20"),
     "review_ranks": q("SELECT k AS \"case\", review_id, thread_id, row_number() OVER (PARTITION BY k ORDER BY feedback_time, review_id) AS review_rank, k = 'valid' AND row_number() OVER (PARTITION BY k ORDER BY feedback_time, review_id) <= 20 AS is_within_budget FROM candidates, unnest(['valid', 'invalid']) t(k)"),

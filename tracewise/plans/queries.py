@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewise.functions.hashing import AGENT, leaf_digests, members_digest, root_digests, updated_leaves
+from tracewise.functions.variants import flattened, with_canonical_hash
 from tracewise.operators import config, docs, findings, recommend, reports, search, settings, turns, work, workflow
 from tracewise.plans.model import AS_OF, SERVICE, Model
 from tracewise.sources import adapters, runlog, saved, spans
@@ -195,11 +196,16 @@ def config_instructions(m: Model) -> DataFrame:
 @query
 def config_hash(m: Model) -> DataFrame:
     """Identities of all snapshots of the history, key order no matter."""
-    from tracewise.functions.variants import canonical_hash
+    counts = m.history.where("specification <> '[]'").groupBy("specification").agg(F.count("*").alias("snapshots"))
+    return with_canonical_hash(counts, "specification", "config_hash").groupBy("config_hash").agg(F.sum("snapshots").alias("snapshots"))
 
-    rows = m.history.where("specification <> '[]'").select("specification").distinct()
-    counts = m.history.groupBy("specification").agg(F.count("*").alias("snapshots"))
-    return rows.join(counts, "specification").select(canonical_hash(F.col("specification")).alias("config_hash"), "snapshots").groupBy("config_hash").agg(F.sum("snapshots").alias("snapshots"))
+
+@query
+def config_nodes(m: Model) -> DataFrame:
+    """Every node of the distinct specifications, apart from their numbers, counted by path, type and value."""
+    texts = m.history.select("specification", F.sha2("specification", 256).alias("text")).distinct()
+    nodes = flattened(texts, "text", "specification").where("type <> 'NUMBER'")
+    return nodes.groupBy("path", "type", "value").agg(F.count("*").alias("nodes"))
 
 
 @query

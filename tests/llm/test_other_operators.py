@@ -427,6 +427,19 @@ def test_shortages_go_to_siblings_first(spark):
     assert sum(budgets(spark, leaves, 10_000, [None, None], 2).values()) == 620
 
 
+def test_what_weighs_nothing_gets_nothing(spark):
+    leaves = [("x", "p", 10), ("x", "q", 100), ("y", "r", 100), ("y", None, 100)]
+    assert budgets(spark, leaves, 100, [{"x": 0}, None]) == {("x", "p"): 0, ("x", "q"): 0, ("y", "r"): 50, ("y", None): 50}
+    assert budgets(spark, leaves, 100, [None, {"q": 0}]) == {("x", "p"): 10, ("x", "q"): 0, ("y", "r"): 45, ("y", None): 45}
+    assert budgets(spark, leaves, 1000, [None, {"q": 0, "r": 7}]) == {("x", "p"): 10, ("x", "q"): 0, ("y", "r"): 100, ("y", None): 100}
+    assert set(budgets(spark, leaves, 100, [{"x": 0, "y": 0}, None]).values()) == {0}
+    with pytest.raises(Exception, match="negative"):
+        budgets(spark, leaves, 100, [{"x": -1}, None])
+    docs = spark.createDataFrame([(i, "x" if i % 2 else "y", 5) for i in range(40)], "doc_id long, a string, tokens long")
+    zero = spark.createDataFrame([("x", 0), ("y", None), ("z", 3)], "a string, weight long")
+    assert set(mixing.mix(docs, 60, [zero], ["a"], "tokens", 3).toPandas().a) == {"y"}
+
+
 def test_mix_takes_epochs_and_prefixes(spark):
     docs = [(i, "x", "p", 5) for i in range(20)] + [(100 + i, "y", "q", 50) for i in range(20)] + [(200, "x", "p", 0), (201, "x", "p", None), (202, None, None, 7)]
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, a string, b string, tokens long, epoch int")

@@ -36,21 +36,26 @@ def _split(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 
 def budgets(leaves: DataFrame, total: int, weights: list[DataFrame | None], levels: list[str], max_epochs: int) -> DataFrame:
-    """leaves: the level columns and tokens. weights[i]: (levels[i], weight) positive whole numbers, or None: all 1;
-    names that it lacks weigh 1. Returns leaves with `budget`; budgets are rounded down to whole tokens."""
-    root = "cast(0 as int)"
+    """leaves: the level columns and tokens. weights[i]: (levels[i], weight) whole numbers from 0, or None: all 1; names that
+    it lacks, and null weights, weigh 1; of a name that it has twice the larger weight counts. What weighs 0 gets nothing,
+    nor does anything below it, and its share goes to the others; a negative weight fails the job. Returns leaves with
+    `budget`; budgets are rounded down to whole tokens."""
+    root, one = "cast(0 as int)", F.lit(1).cast("long")
     at = leaves.withColumn("cap", F.col("tokens") * max_epochs).withColumn("root", F.expr(root))
+    for i, (level, known) in enumerate(zip(levels, weights, strict=True)):
+        weight = one
+        if known is not None:
+            given = known.groupBy(F.col(level).alias("name")).agg(F.max(F.col("weight").cast("long")).alias("given"))
+            at = at.join(given, F.col(level).eqNullSafe(F.col("name")), "left").drop("name")
+            weight = F.coalesce("given", one)
+        weight = F.when(weight < 0, F.raise_error(F.lit("weights may not be negative"))).otherwise(weight)
+        at = at.withColumn(f"_w{i}", weight).drop("given")
+        # What weighs nothing has nothing to give, to its parents neither; then its weight is no matter.
+        at = at.withColumn("cap", F.when(F.col(f"_w{i}") == 0, 0).otherwise(F.col("cap"))).withColumn(f"_w{i}", F.greatest(f"_w{i}", one))
     top = at.groupBy("root").agg(F.sum("cap").alias("cap")).select("root", F.least(F.col("cap"), F.lit(int(total))).alias("parent_budget"))
     path: list[str] = ["root"]
-    for level, known in zip(levels, weights, strict=True):
-        nodes = at.groupBy(*path, level).agg(F.sum("cap").alias("cap"))
-        if known is None:
-            nodes = nodes.withColumn("weight", F.lit(1).cast("long"))
-        else:
-            given = known.select(F.col(level).alias("name"), F.col("weight").cast("long").alias("given"))
-            nodes = nodes.join(F.broadcast(given), F.col(level).eqNullSafe(F.col("name")), "left").withColumn(
-                "weight", F.coalesce("given", F.lit(1).cast("long"))
-            ).drop("name", "given")
+    for i, level in enumerate(levels):
+        nodes = at.groupBy(*path, level).agg(F.sum("cap").alias("cap"), F.max(f"_w{i}").alias("weight"))
         on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in path]
         nodes = nodes.alias("l").join(top.alias("r"), on).select("l.*", "parent_budget")
         path = [*path, level]

@@ -351,6 +351,27 @@ def test_links_found_from_one_end_count_for_both(spark, monkeypatch, shard):
     assert n.sum() >= 120 and got.n_links.tolist() == n.tolist() and got.component_id.tolist() == component
 
 
+def test_pairs_of_shards_meet_once():
+    for n in (1, 2, 7):
+        met = [frozenset((a, b)) for a in range(n) for b in range(n) if hnsw.meets(a, b)]
+        assert len(met) == len(set(met)) == n * (n + 1) // 2
+
+
+def test_graphs_go_out_in_rounds(spark, monkeypatch):
+    """Small lots of graphs give what one lot gives; graphs are written once and never exchanged again."""
+    x = vectors(700, dim=8, seed=4)
+    x[350:] = x[:350] + 0.01 * np.random.default_rng(1).normal(size=(350, 8))
+    rows = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], EMB)
+    monkeypatch.setattr(hnsw, "SHARD", 50)
+    near = lambda: sorted(map(tuple, hnsw.near_vectors(rows).collect()))
+    want, sent, compared, written, materialise = near(), [], hnsw._compared, [], hnsw.materialise
+    monkeypatch.setattr(hnsw, "ROUND_BYTES", 20_000)
+    monkeypatch.setattr(hnsw, "_compared", lambda least, lot: sent.append(sum(len(g) for *_, g in lot)) or compared(least, lot))
+    monkeypatch.setattr(hnsw, "materialise", lambda df, name: written.append(name) or materialise(df, name))
+    assert near() == want and len(sent) > 2 and max(sent) <= 20_000 and written.count("graphs") == 1
+    assert any(n for _, n, _, _ in want)
+
+
 def test_near_vectors_of_odd_tables(spark):
     rows = [(1, [1.0, 0.0], None), (2, [1.0, 0.0], None), (3, None, 1), (4, [0.0, 0.0], 1), (5, [float("nan"), 0.0], 1), (6, [1.0, 0.0], 1), (7, [3.0, 0.0], 1), (8, [1.0], 1), (9, [1.0, 0.0], 2)]
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in hnsw.near_vectors(spark.createDataFrame([(*r, 0) for r in rows], EMB + ", shard int")).collect()}

@@ -11,14 +11,16 @@ union.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.shared import connected_components, materialise
+from tracewise.llm.shared import connected_components, give_back, materialise
 from tracewise.llm.vectors import usable
 
 SHARD = 8192  #: about as many distinct vectors in a shard
@@ -26,6 +28,7 @@ DEGREE = 12  #: links of a node on upper layers; twice as many on the lowest
 BEAM = 32
 AUDIT = 64  #: vectors of a graph, and queries of a shard, that an audit looks at
 TOGETHER = 512
+ROUND_BYTES = 64 << 20  #: of graphs that are sent to all tasks at once
 SLACK = 1e-5  #: by which similarities in single precision may fall short; pairs are verified in double
 
 
@@ -280,36 +283,69 @@ def components(linked: np.ndarray, same: bool) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if a != b]
 
 
-def _compared(least: float):
-    def run(key: tuple, graphs: pd.DataFrame) -> pd.DataFrame:
-        """Of one shard, or of two that query each other: each vector's number of links, and edges that span its links. A
-        link counts for both ends, whichever of them found it."""
-        both = [pickle.loads(blob) for blob in graphs["graph"]]
-        (raw, packed, beam, ids, copies), (raw2, packed2, beam2, ids2, copies2) = both[0], both[-1]
-        same = len(both) == 1
-        linked = np.zeros((len(ids), len(ids2)), bool)
-        for i, hit in enumerate(links_of(Graph.unpack(unit(raw2), packed2), raw2, raw, least, beam2)):
-            linked[i, hit] = True
-        if same:
-            linked |= linked.T
-            np.fill_diagonal(linked, False)
-        else:
-            for i, hit in enumerate(links_of(Graph.unpack(unit(raw), packed), raw, raw2, least, beam)):
-                linked[hit, i] = True
-        total, total2 = np.zeros(len(ids)), np.zeros(len(ids2))
-        for at in range(0, len(ids), TOGETHER):
-            part = linked[at : at + TOGETHER].astype(np.float64)
-            total[at : at + TOGETHER] = part @ copies2
-            total2 += copies[at : at + TOGETHER] @ part
-        out = [(ids[i].item(), None, int(total[i])) for i in np.flatnonzero(total)]
-        out += [] if same else [(ids2[i].item(), None, int(total2[i])) for i in np.flatnonzero(total2)]
-        every = ids if same else np.concatenate([ids, ids2])
-        out += [(every[a].item(), every[b].item(), 0) for a, b in components(linked, same)]
-        return pd.DataFrame(out, columns=["a", "b", "links"]).astype({"a": "Int64", "b": "Int64", "links": "Int64"})
+def compared(blobs: list[bytes], least: float) -> pd.DataFrame:
+    """Of one shard, or of two that query each other: each vector's number of links, and edges that span its links. A link
+    counts for both ends, whichever of them found it."""
+    both = [pickle.loads(blob) for blob in blobs]
+    (raw, packed, beam, ids, copies), (raw2, packed2, beam2, ids2, copies2) = both[0], both[-1]
+    same = len(both) == 1
+    linked = np.zeros((len(ids), len(ids2)), bool)
+    for i, hit in enumerate(links_of(Graph.unpack(unit(raw2), packed2), raw2, raw, least, beam2)):
+        linked[i, hit] = True
+    if same:
+        linked |= linked.T
+        np.fill_diagonal(linked, False)
+    else:
+        for i, hit in enumerate(links_of(Graph.unpack(unit(raw), packed), raw, raw2, least, beam)):
+            linked[hit, i] = True
+    total, total2 = np.zeros(len(ids)), np.zeros(len(ids2))
+    for at in range(0, len(ids), TOGETHER):
+        part = linked[at : at + TOGETHER].astype(np.float64)
+        total[at : at + TOGETHER] = part @ copies2
+        total2 += copies[at : at + TOGETHER] @ part
+    out = [(ids[i].item(), None, int(total[i])) for i in np.flatnonzero(total)]
+    out += [] if same else [(ids2[i].item(), None, int(total2[i])) for i in np.flatnonzero(total2)]
+    every = ids if same else np.concatenate([ids, ids2])
+    out += [(every[a].item(), every[b].item(), 0) for a, b in components(linked, same)]
+    return pd.DataFrame(out, columns=["a", "b", "links"]).astype({"a": "Int64", "b": "Int64", "links": "Int64"})
+
+
+def meets(shard: int, sent: int) -> bool:
+    """Whether a shard's own task compares it with a shard that was sent to it; of two different ones, one task does."""
+    return shard == sent or (shard < sent) == ((shard + sent) % 2 == 0)
+
+
+def _compared(least: float, sent: list[tuple[int, int, int, bytes]]):
+    """Graphs -> links among each of them and those of its label that were sent."""
+    by_label: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
+    for dim, label, shard, blob in sent:
+        by_label.setdefault((dim, label), []).append((shard, blob))
+
+    @give_back
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for dim, label, shard, blob in zip(b["dim"], b["label"], b["shard"], b["graph"], strict=True):
+                for other, graph in by_label.get((dim, label), ()):
+                    if meets(shard, other):
+                        yield compared([blob] if shard == other else [blob, graph], least)
 
     return run
 
 
+def _rounds(graphs: DataFrame) -> list[DataFrame]:
+    """The graphs in lots of ROUND_BYTES at most, or one graph. Only their names and sizes are listed."""
+    of = F.concat_ws("|", "dim", "label", "shard")
+    lots: list[list[str]] = []
+    size = ROUND_BYTES
+    for name, n in graphs.select(of, F.length("graph")).orderBy("dim", "label", "shard").collect():
+        if size + n > ROUND_BYTES:
+            lots.append([])
+            size = 0
+        lots[-1].append(name)
+        size += n
+    return [graphs.where(of.isin(lot)) for lot in lots]
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row.
 
@@ -331,11 +367,13 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     graphs = materialise(
         nodes.groupBy("dim", "label", "shard").applyInPandas(_built(least), "dim int, label int, shard long, graph binary"), "graphs"
     )
-    # A graph holds its shard's vectors; so two graphs are all that two shards need to query each other.
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
-    asked = graphs.join(shards, ["dim", "label"]).select("dim", "label", "shard", "graph", every.alias("other"))
-    asked = asked.select("dim", "label", F.least("shard", "other").alias("i"), F.greatest("shard", "other").alias("j"), "graph")
-    found = materialise(asked.groupBy("dim", "label", "i", "j").applyInPandas(_compared(least), "a long, b long, links long"), "links")
+    # A graph holds its shard's vectors, so two graphs are all that two shards need to query each other. Graphs stay where
+    # they are; in each round a bounded lot of them is sent to all tasks.
+    found = [good.select(F.col("vec_id").alias("a"), F.col("vec_id").alias("b"), F.lit(0).cast("long").alias("links")).where(F.lit(False))]
+    for lot in _rounds(graphs):
+        sent = [(r["dim"], r["label"], r["shard"], bytes(r["graph"])) for r in lot.collect()]
+        found.append(materialise(graphs.mapInPandas(_compared(least, sent), "a long, b long, links long"), "links"))
+    found = reduce(DataFrame.unionByName, found)
     counts = found.groupBy("a").agg(F.sum("links").alias("links"))
     own = classes.join(counts, F.col("vec_id") == F.col("a"), "left").select(
         "dim", "label", "embedding", F.col("vec_id").alias("rep"), (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("links")

@@ -223,6 +223,9 @@ ORACLE_SQL: dict[str, str] = {
     "doc_alignment": q("SELECT coalesce(a.area_key, d.area_key) AS area_key, documentation_query, query_text AS saved_query_text, retrieval_id, CASE WHEN a.area_key IS NULL THEN 'area_not_configured' WHEN retrieval_id IS NULL THEN 'not_retrieved' WHEN documentation_query <> query_text THEN 'query_mismatch' ELSE 'query_matches' END AS query_alignment FROM areas a FULL JOIN latest d ON d.area_key = a.area_key"),
     "search_topk": f"{bm25('SELECT item_id AS query_id, text AS query FROM benchmark')} SELECT query_id, rank, doc_id, score FROM ranked",
     "observations": q("SELECT review_id, pair_hash, config_hash, assessment, issue_type, severity, surface, thread_id, review_output_hash FROM seen"),
+    "observations_of_several_replies": q("SELECT review_id, pair_hash, assessment, surface, epoch_us(reviewed_at) AS reviewed_us, review_output_hash FROM seen WHERE substr(review_id, 5, 1) <> '8'"),
+    "results_of_several_replies": q("SELECT recommendation_id, surface, CASE WHEN late THEN 'late' ELSE model_error END AS model_error, CASE WHEN late THEN 'shape' ELSE validation_note END AS validation_note, CASE WHEN late THEN 0 ELSE citation_count END AS citation_count, CASE WHEN NOT late THEN change_mode END AS change_mode, CASE WHEN NOT late THEN headline END AS headline, CASE WHEN late THEN 'ai_error' ELSE review_status END AS review_status FROM (SELECT *, substr(recommendation_id, 5, 1) = '8' AS late FROM results)"),
+    "groups_of_repeated_areas": q("SELECT group_id, surface, documentation_query, retrieval_id, eligibility_status FROM groups_b"),
     "observation_counts": q("SELECT assessment, issue_type, surface, count(*) AS saved_observations FROM seen GROUP BY ALL"),
     "evidence_groups": q(f"SELECT {AGENT}, surface, total_occurrences, total_feedback_pairs, epoch_us(first_feedback) AS first_us, evidence_members_hash, array_to_string(list_transform(selected, lambda x: x.review_id), ',') AS sample FROM groups_a"),
     "good_counterevidence": q(f"SELECT {AGENT}, total_good_responses, good_members_hash, array_to_string(list_transform(selected_good, lambda x: x.review_id), ',') AS sample FROM good"),

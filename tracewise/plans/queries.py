@@ -300,6 +300,38 @@ def observations(m: Model) -> DataFrame:
     return m.observations.select("review_id", "pair_hash", "config_hash", "assessment", "issue_type", "severity", "surface", "thread_id", "review_output_hash")
 
 
+_LATE = '{"value":null,"error":"late"}'
+
+
+def _again(replies: DataFrame, key: str, stamp: str) -> DataFrame:
+    """Replies with second ones to the same keys, all of them errors: older ones to all, newer ones to some."""
+    other = lambda days: replies.withColumns({stamp: F.timestamp_add("DAY", F.lit(days), F.col(stamp)), "model_response": F.lit(_LATE)})
+    return _union([replies, other(-1), other(1).where(F.substr(key, F.lit(5), F.lit(1)) == "8")])
+
+
+@query
+def observations_of_several_replies(m: Model) -> DataFrame:
+    """Observations where each review was sent twice: the newest reply counts, and a newer error hides a valid reply."""
+    reviews = materialise(_again(m.reviews, "review_id", "reviewed_at"), "several")
+    rows = recommend.observations(findings.review_findings(reviews, m.review_inputs), reviews, m.pairs, m.config, m.settings)
+    return rows.select("review_id", "pair_hash", "assessment", "surface", us("reviewed_at", "reviewed_us"), "review_output_hash")
+
+
+@query
+def results_of_several_replies(m: Model) -> DataFrame:
+    """Results where each recommendation was asked for twice."""
+    rows = recommend.recommendation_results(materialise(_again(m.advice, "recommendation_id", "generated_at"), "several"), m.advice_inputs)
+    return rows.select("recommendation_id", "surface", "model_error", "validation_note", "citation_count", "change_mode", "headline", "review_status")
+
+
+@query
+def groups_of_repeated_areas(m: Model) -> DataFrame:
+    """Groups while each area is there three times: the first of its queries counts."""
+    areas = _union([m.areas, m.areas, m.areas.withColumn("documentation_query", F.concat(F.lit("~"), "documentation_query"))])
+    rows = recommend.recommendation_groups(m.observations, m.config, areas, m.doc_latest, m.settings, True, SERVICE, AS_OF)
+    return rows.select("group_id", "surface", "documentation_query", "retrieval_id", "eligibility_status")
+
+
 @query
 def observation_counts(m: Model) -> DataFrame:
     return m.observations.groupBy("assessment", "issue_type", "surface").agg(F.count("*").alias("saved_observations"))

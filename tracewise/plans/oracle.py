@@ -268,7 +268,17 @@ _TEXT = lambda x: "NULL" if x is None else f"'{x}'"
 _GUARDED = ", ".join(f"('{k}', {_TEXT(g)}, {_TEXT(o)})" for k, g, o in GUARDED)
 _TWICE = lambda name, key, table, where: f"SELECT '{name}' AS object_name, {key} AS identity, 2::BIGINT AS saved_rows FROM {table} WHERE {where}"
 
+_ALL = lambda note: (note, note, note)
+#: Case, and the note on it for a gap, for instructions and for other areas.
+_CHECKED = ", ".join(f"('{k}', {', '.join(map(_TEXT, notes))})" for k, notes in (
+    ("right", _ALL(None)), ("shape", _ALL("shape")), ("unwarranted mode", _ALL("unwarranted advice with a mode or displaced text")), ("no reason", _ALL("warranted advice without mode, reasoning, change or preservation")),
+    ("no citation", _ALL("number of citations")), ("other quote", _ALL("citation not in its passage")), ("replacement", _ALL("replacement of text not supplied")), ("displaced", _ALL("displaced text without replacement")),
+    ("append", ("change where only investigation is allowed", None, "change where only investigation is allowed")), ("same actions", ("gap without two distinct actions", "gap fields outside a gap", "gap fields outside a gap")),
+    ("gap fields", (None, "gap fields outside a gap", "gap fields outside a gap")), ("regression", _ALL(None)), ("unwarranted", _ALL(None)),
+))
+
 ORACLE_SQL |= {
+    "advice_checks": q(f"SELECT recommendation_id || '|' || k AS recommendation_id, k AS \"case\", surface, k <> 'shape' AS shape_ok, CASE WHEN k = 'no citation' THEN 0 ELSE 1 END::BIGINT AS citation_count, CASE WHEN k = 'other quote' THEN 1 ELSE 0 END::BIGINT AS bad_citations, note AS validation_note, CASE WHEN note IS NOT NULL THEN 'invalid_output' WHEN k IN ('regression', 'unwarranted') THEN 'suppressed' ELSE 'needs_human_review' END AS review_status FROM (SELECT *, CASE WHEN investigate_only THEN of_gap WHEN surface LIKE 'instructions.%' THEN of_instructions ELSE of_other END AS note FROM advised, (VALUES {_CHECKED}) t(k, of_gap, of_instructions, of_other))"),
     "settings_statuses": f"""SELECT 'made' AS "case", count(*) AS settings_rows, count(*) FILTER (WHERE NOT ({_ALL_OK})) AS invalid_settings_rows, count(*) = 1 AND bool_and({_ALL_OK}) AS settings_are_valid,
         CASE WHEN count(*) = 1 AND bool_and({_ALL_OK}) THEN 'valid' ELSE {INVALID} END AS settings_status FROM {CHECKED}
       UNION ALL SELECT 'none', count(*), count(*), count(*) = 1, {INVALID} FROM {CHECKED} WHERE review_start < TIMESTAMP '1900-01-01' UNION ALL SELECT 'one', 1, 0, true, 'valid'""",

@@ -739,6 +739,40 @@ def text_guards(m: Model) -> DataFrame:
     return recommend.recommendation_results(replies, inputs).select("recommendation_id", "case", "shape_ok", "validation_note", "review_status")
 
 
+#: What a reply that is else right has instead, and whether these fields are told of a gap only.
+CHECKED = (
+    ("right", {}), ("shape", {"headline": " "}), ("unwarranted mode", {"recommendation_warranted": False}), ("no reason", {"reasoning": "\t"}), ("no citation", {"citations": None}),
+    ("other quote", {"citations": "not there"}), ("replacement", {"change_mode": "replace", "displaced_text": "zzz"}), ("displaced", {"displaced_text": "x"}), ("append", {"change_mode": "append"}),
+    ("same actions", {"data_gap_investigation": " Look", "unknown_data_response_guidance": "look "}), ("gap fields", {"data_gap_investigation": "a", "unknown_data_response_guidance": "b"}),
+    ("regression", {"would_regress_good_behavior": True}),
+    ("unwarranted", {"recommendation_warranted": False, "change_mode": "none", "data_gap_investigation": "", "unknown_data_response_guidance": ""}),
+)
+
+
+@query
+def advice_checks(m: Model) -> DataFrame:
+    """Replies to each input that each break one rule of shape, warrant, citations, replacement or gap, and right ones."""
+    gap, first = F.col("investigate_only"), F.element_at("passages", 1)
+    right = {
+        "recommendation_warranted": True, "headline": "h", "reasoning": "seen", "suggested_change": "look", "change_mode": "investigate", "displaced_text": "", "preserve_behavior": "rest",
+        "would_regress_good_behavior": False, "confidence": "low", "data_gap_investigation": F.when(gap, "look").otherwise(""), "unknown_data_response_guidance": F.when(gap, "say so").otherwise(""),
+    }
+    column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    cited = lambda quote: F.array(F.struct(first.url.alias("url"), quote.alias("quote"), F.lit("it").alias("supports")))
+
+    def reply(name: str, changed: dict[str, Any]) -> Column:
+        own = right | {k: v for k, v in changed.items() if k != "citations"}
+        quotes = cited(F.left(first.chunk, F.lit(10)) if "citations" not in changed else F.lit(changed["citations"]))
+        quotes = F.filter(quotes, lambda c: c.quote.isNotNull())
+        value = F.struct(*(column(v).alias(k) for k, v in own.items()), quotes.alias("citations"))
+        return F.struct(F.lit(name).alias("case"), F.to_json(F.struct(value.alias("value"))).alias("model_response"))
+
+    inputs = m.all_advice.withColumn("r", F.explode(F.array(*(reply(*c) for c in CHECKED)))).select("*", "r.*").drop("r")
+    inputs = materialise(inputs.withColumn("recommendation_id", F.concat("recommendation_id", F.lit("|"), "case")), "checked")
+    replies = inputs.select("recommendation_id", settings.now(AS_OF).alias("generated_at"), "model_response")
+    return recommend.recommendation_results(replies, inputs.drop("model_response")).select("recommendation_id", "case", "surface", "shape_ok", "citation_count", "bad_citations", "validation_note", "review_status")
+
+
 @query
 def duplicate_ids_of_all(m: Model) -> DataFrame:
     """Identities saved more than once in any of the seven saved tables, some of whose rows are saved again here."""

@@ -189,8 +189,9 @@ def unit(v: np.ndarray) -> np.ndarray:
 
 
 def scan_from(n: int) -> int:
-    """The beam from which a search would cost more than a scan of n vectors; graphs of few vectors are searched too."""
-    return max(2 * BEAM, n // 4)
+    """The beam from which a search would cost more than a scan of n vectors, a product of matrices; graphs of few vectors are
+    searched too."""
+    return max(2 * BEAM, n // 64)
 
 
 def audited_beam(g: Graph, least: float, beam: int = BEAM) -> int:

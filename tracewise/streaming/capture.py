@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tracewise.sources.spans import SPAN_SCHEMA, new_events, readable_events, with_event_hash
 
 SETTLING = "15 minutes"
+TRACE_ERROR = 0.01  #: standard deviation of a day's number of traces: of any number of days none is a tenth off; 13 KB a day
 DAY = "event_day"  #: of the saved table's folders
 
 
@@ -42,5 +43,5 @@ def stream_activity(spans: DataFrame) -> DataFrame:
     trace = F.get_json_object("trace", "$.trace_id")
     return (
         at.withWatermark("at", SETTLING).groupBy(F.window("at", "1 day").alias("w"))
-        .agg(F.count("*").alias("spans"), F.approx_count_distinct(trace).alias("traces")).select(F.col("w.start").alias("day"), "spans", "traces")
+        .agg(F.count("*").alias("spans"), F.approx_count_distinct(trace, TRACE_ERROR).alias("traces")).select(F.col("w.start").alias("day"), "spans", "traces")
     )

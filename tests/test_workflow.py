@@ -391,3 +391,40 @@ def test_traces_of_no_day_are_a_tenth_off(spark):
     rows = spark.range(n * days).select(at.alias("ts"), F.to_json(F.struct(F.col("id").cast("string").alias("trace_id"))).alias("trace"))
     found = capture.stream_activity(rows).collect()
     assert len(found) == days and max(abs(r["traces"] - n) for r in found) <= n / 10
+
+
+def test_only_newest_searches_are_parsed(spark, monkeypatch):
+    """Groups and advice take passages of the newest search of each area; once every search was parsed for each of them."""
+    from tracewise.plans.model import Model
+
+    seen, plain = [], docs.doc_passages
+    monkeypatch.setattr(docs, "doc_passages", lambda rows, prefix: seen.append(rows.count()) or plain(rows, prefix))
+    m = Model(spark, "/root/testdata/sf0.001")
+    m.advice_candidates.count()
+    assert seen and max(seen) <= len(settings.AREAS) < m.retrievals.count()
+
+
+def test_newest_searches_give_the_latest_of_all(spark):
+    """Ties in time, ids in several areas, areas and ids that are null, and rows that are there twice."""
+    ok, t = '{"results": [{"url": "https://x", "title": "t", "chunk": "c"}]}', datetime(2024, 3, 1)
+    rows = [("r1", t, "a", "s", "q", ok), ("r2", t, "a", "s", "q", "[1]"), ("r2", t, "b", "s", "q", ok), ("r3", t + timedelta(1), "b", "s", "q", "{}"), ("r4", t, None, "s", None, ok),
+            (None, t, "c", "s", "q", ok), ("r5", None, "d", "s", "q", ok), ("r6", t, "e", "s", "q", ok), ("r6", t, "e", "s", "q", ok)]
+    all_ = spark.createDataFrame(rows, "retrieval_id string, captured_at timestamp_ntz, area_key string, service_name string, query_text string, response string")
+    latest = lambda r: sorted(map(str, docs.doc_latest(docs.doc_status(r, docs.doc_passages(r, "https://")), docs.doc_passages(r, "https://")).collect()))
+    assert latest(docs.newest(all_)) == latest(all_) and len(latest(all_)) == 6
+
+
+def test_the_history_is_read_once(spark):
+    """The snapshots of each agent are aggregated once; once they were for the texts to walk and again for the rows."""
+    from pyspark.sql import types as T
+
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf(T.StringType())
+    def seen(x):
+        runs.add(1)
+        return x
+
+    h = spark.createDataFrame([("d", "s", "a", f"i{i}", datetime(2024, 1, 1 + i), '{"k": 1}') for i in range(5)], f"{', '.join(f'{a} string' for a in AGENT)}, snapshot_id string, captured_at timestamp_ntz, specification string")
+    rows = config.current_config(h.withColumn("specification", seen("specification"))).collect()
+    assert [r["snapshot_id"] for r in rows] == ["i4"] and runs.value == 5

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tracewise.functions.hashing import leaf_digests, members_digest, root_digests, updated_leaves
 from tracewise.operators import search, work
 from tracewise.sources.runlog import RunLog
+from tracewise.plans import queries
+from tracewise.plans.model import Model
+from tracewise.sources import saved
 from tracewise.sources.saved import SavedTable
 from tracewise.sources.scratch import new_path
 
@@ -96,6 +99,19 @@ def test_only_suspects_are_looked_up_and_saved_rows_stay_in_their_buckets(spark,
     assert not any("Exchange" in line for line in above[join + 1 :])
 
 
+def test_no_bucket_of_the_captures_grows_with_the_table(spark, monkeypatch):
+    """A thousand events in buckets of a hundred rows: with eight buckets, whatever the table, each held more."""
+    monkeypatch.setattr(saved, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(saved, "LEAST_BUCKETS", 1)
+    m = Model(spark, "/root/testdata/sf0.001")
+    n = m.table("events").count()
+    table = queries._saved_events(m, m.events.select("event_hash"))
+    assert table.buckets == -(-n // 100) > 8
+    table.merge(m.table("events").select(F.sha2(F.col("event_id").cast("string"), 256).alias("event_hash")))
+    sizes = table.rows().groupBy(F.input_file_name()).count().collect()
+    assert sum(r[1] for r in sizes) == n and max(r[1] for r in sizes) < 150
+
+
 def test_full_bitmaps_and_null_keys_lose_nothing(spark):
     schema = spark.createDataFrame([], "id string, n long").schema
     table = SavedTable(spark, new_path(spark, "saved"), schema, "id", buckets=2, slot_bits=15)

@@ -14,7 +14,7 @@ from tracewise.operators import search, work
 from tracewise.sources.runlog import RunLog
 from tracewise.plans import queries
 from tracewise.plans.model import Model
-from tracewise.sources import saved
+from tracewise.sources import saved, spans
 from tracewise.sources.saved import SavedTable
 from tracewise.sources.scratch import new_path
 
@@ -112,6 +112,18 @@ def test_no_bucket_of_the_captures_grows_with_the_table(spark, monkeypatch):
     assert sum(r[1] for r in sizes) == n and max(r[1] for r in sizes) < 150
 
 
+def test_a_key_that_a_text_lacks_is_not_parsed(spark):
+    """Escaped, absent, repeated, nested and null keys and malformed texts, as get_json_object has them."""
+    key = "agent.response"
+    texts = ['{"agent.response": "a"}', '{"agent\\u002eresponse": "b"}', '{"x": "agent.response"}', '{"x": 1}', '{"agent.response": 1, "agent.response": 2}',
+             '{"agent.response": {"b": 1.50}}', '{"agent.response": null}', '{"agent.response": "c"', "[1]", "", None, '{"other": {"agent.response": "d"}}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(2)
+    got = rows.select("i", spans.json_text("t", key).alias("got"), F.get_json_object("t", f"$['{key}']").alias("want"))
+    found = {r["i"]: r["got"] for r in got.collect()}
+    assert all(r["got"] == r["want"] for r in got.collect()) and found[0] == "a" and found[1] == "b" and found[3] is None
+    assert "Contains(t" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_full_bitmaps_and_null_keys_lose_nothing(spark):
     schema = spark.createDataFrame([], "id string, n long").schema
     table = SavedTable(spark, new_path(spark, "saved"), schema, "id", buckets=2, slot_bits=15)
